@@ -1,0 +1,43 @@
+"""TF-IDF as sparse vectors with Spark ML, and vectors back to rows."""
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
+from quillmark.operators.joins import BROADCAST_BYTES, join_on_key, row_bytes
+
+# Most bytes of vocabulary that a model may hold on the driver.
+MODEL_BYTES = 512 * 1024 * 1024
+
+
+def fit_vector_pipeline(docs: DataFrame, vocabulary: DataFrame, text: str = "text", min_length: int = 2,
+                        stop_words: list[str] = ENGLISH_STOP_WORDS) -> PipelineModel:
+    """Tokenizer, stop-word filter, count vectors and IDF as one model.
+
+    ``vocabulary`` is the ranked vocabulary of a ``TermModel``. Fitting
+    the vocabulary with Spark ML would bring every task's top terms to the driver, so it
+    comes from the distributed count; only the limited list, which the model must hold, is
+    collected, after a check of its size.
+    """
+    size = vocabulary.agg(F.sum(row_bytes(vocabulary.select("term")))).first()[0] or 0
+    if size > MODEL_BYTES:
+        raise ValueError(f"vocabulary of {size} bytes is too large for a vector model; score rows instead")
+    terms = [row["term"] for row in vocabulary.select("term", "rank").orderBy("rank").collect()]
+    tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"\W+", minTokenLength=min_length)
+    remover = StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=stop_words)
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="filtered", outputCol="tf")
+    counted = counter.transform(remover.transform(tokenizer.transform(docs.select(text))))
+    return PipelineModel([tokenizer, remover, counter, IDF(inputCol="tf", outputCol="tfidf").fit(counted)])
+
+
+def vector_rows(vectors: DataFrame, keys: list[str], vocabulary: DataFrame, vector: str = "tfidf",
+                budget: int = BROADCAST_BYTES) -> DataFrame:
+    """Non-zero entries as ``(keys, term, <vector>)``; the vector is never made dense."""
+    entries = vectors.select(*keys, F.unwrap_udt(vector).alias("_v")).select(
+        *keys, F.inline(F.arrays_zip(F.col("_v.indices").alias("rank"), F.col("_v.values").alias(vector)))
+    )
+    ranked = entries.withColumn("rank", (F.col("rank") + 1).cast("bigint"))
+    terms = vocabulary.select("rank", "term", "df")
+    return join_on_key(ranked, terms, "rank", frequency="df", budget=budget).select(*keys, "term", vector)
