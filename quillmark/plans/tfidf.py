@@ -22,15 +22,20 @@ from quillmark.sources.staging import stage
 Idf = Callable[[Column, Column], Column]
 
 
+# Upper bound for a vocabulary row without its term: two numbers and the row itself.
+NUMBERS_BYTES = 64
+
+
 @dataclass(frozen=True)
 class TermModel:
-    """Number of documents, and the vocabulary ``(term, df)`` as a staged table.
+    """Number of documents, the vocabulary ``(term, df)`` as a staged table, and its size.
 
     A vocabulary fitted with corpus counts also has ``c``.
     """
 
     n_docs: int
     vocabulary: DataFrame
+    n_bytes: int
 
     def idf(self, formula: Idf) -> DataFrame:
         """``(term, df, idf)``."""
@@ -38,13 +43,14 @@ class TermModel:
 
     def ranked(self) -> DataFrame:
         """Vocabulary with ``rank`` from 1, by corpus count and then by term."""
-        return stage(running_prefix(self.vocabulary, _by_count(), F.lit(1), 0, "rank"), "ranked")
+        return running_prefix(self.vocabulary, _by_count(), F.lit(1), 0, "rank")
 
 
 def fit(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> TermModel:
     """Count documents and document frequencies; all terms are kept."""
     stats = stage(term_statistics(docs, tokens, keep), "terms")
-    return TermModel(_document_count(stats), stats.where("term is not null"))
+    n_docs, _, n_bytes = _measure(stats, 1)
+    return TermModel(n_docs, stats.where("term is not null"), n_bytes)
 
 
 def fit_vocabulary(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY, min_df: int = 2,
@@ -54,31 +60,38 @@ def fit_vocabulary(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY, min_
     Terms rank by corpus count, then by term.
     """
     stats = stage(term_statistics(docs, tokens, keep, corpus_counts=True), "terms")
+    n_docs, n_terms, n_bytes = _measure(stats, min_df)
     known = stats.where(F.col("term").isNotNull() & (F.col("df") >= min_df))
-    if known.count() > vocab_size:
+    if n_terms > vocab_size:
         known = stage(top_k(known, _by_count(), vocab_size).drop("rank"), "vocabulary")
-    return TermModel(_document_count(stats), known)
+        n_bytes = known.agg(_vocabulary_bytes(F.col("term"))).first()[0]
+    return TermModel(n_docs, known, n_bytes)
 
 
 def _by_count() -> list[Column]:
     return [F.desc("c"), F.col("term")]
 
 
-def _document_count(stats: DataFrame) -> int:
-    """Document count from the null term of staged statistics; no document is an error."""
-    row = stats.where("term is null").select("df").first()
-    if row is None:
+def _vocabulary_bytes(term: Column) -> Column:
+    return F.coalesce(F.sum(F.octet_length(term).cast("bigint") + NUMBERS_BYTES), F.lit(0))
+
+
+def _measure(stats: DataFrame, min_df: int) -> tuple[int, int, int]:
+    """Documents (from the null term), and number and bytes of the terms that are kept."""
+    kept = F.when(F.col("df") >= min_df, F.col("term"))
+    documents = F.max(F.when(F.col("term").isNull(), F.col("df")))
+    n_docs, n_terms, n_bytes = stats.agg(documents, F.count(kept), _vocabulary_bytes(kept)).first()
+    if n_docs is None:
         raise ValueError("no documents found in the input")
-    return row["df"]
+    return n_docs, n_terms, n_bytes
 
 
 def score(docs: DataFrame, keys: list[str], tokens: Column, model: TermModel, formula: Idf,
           keep: Keep = NOT_EMPTY, budget: int = BROADCAST_BYTES) -> DataFrame:
     """``(keys, term, tfidf)`` with ``tfidf = tf * idf``, for the terms of the vocabulary."""
     tf = term_frequency(docs, keys, tokens, keep=keep)
-    # df is the number of tf rows of a term, so it doubles as the join's key frequency. A
-    # limited vocabulary leaves terms out, but an inner join drops those anyway.
-    joined = join_on_key(tf, model.idf(formula), "term", frequency="df", budget=budget)
+    # df is the number of tf rows of a term, so it doubles as the join's key frequency.
+    joined = join_on_key(tf, model.idf(formula), "term", frequency="df", size=model.n_bytes, budget=budget)
     return joined.select(*keys, "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -37,20 +37,22 @@ def read_whole_files(spark: SparkSession, path: str, recursive: bool = False) ->
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+LINE_BREAK = "\r\n?|\n"
+
+
 def text_lines(text: Column) -> Column:
     """Lines of a text held in one row, as a line scan of the same file gives them.
 
-    A line break at the end closes the last line and starts no new one; empty text has no
-    line.
+    A line break at the end closes the last line and starts no new one. (Empty text has no
+    line, but gives one empty element here.)
     """
-    breaks = F.when(F.instr(text, "\r") > 0, F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
-    closed = F.when(F.endswith(breaks, F.lit("\n")), F.left(breaks, F.length(breaks) - 1)).otherwise(breaks)
-    return F.when(F.length(text) > 0, F.split(closed, "\n"))
+    return F.split(F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK)
 
 
 def line_documents(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Lines as documents, keyed by ``keys`` and ``line_no`` instead of a generated id."""
-    return docs.select(*keys, F.posexplode(text_lines(F.col(text))).alias("line_no", "line"))
+    filled = docs.where(F.length(text) > 0)
+    return filled.select(*keys, F.posexplode(text_lines(F.col(text))).alias("line_no", "line"))
 
 
 def parse_key_values(lines: DataFrame, strict: bool = True, value: str = "value") -> DataFrame:
