@@ -34,25 +34,24 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
       no key left to the shuffle has more than ``sum(w) / budget`` rows.
 
     ``frequency`` names the column of ``table`` with the number of ``rows`` per key; keys of
-    ``rows`` that ``table`` lacks must be rare, and the join inner. Without it the keys of
-    ``rows`` are counted first.
+    ``rows`` that ``table`` lacks must then be rare. Without it the keys of ``rows`` are
+    counted first.
     """
     if size is None:
         size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
     if size <= budget:
         return rows.join(F.broadcast(table), key, how)
+    sizes = table.select(key, row_bytes(table).alias("_bytes"), *([frequency] if frequency else []))
     if frequency is None:
-        # One row per key, so this join has no hot key; its result has every key of rows.
-        counted = rows.groupBy(key).agg(F.count("*").alias("_rows"))
-        table = stage(counted.join(table, key, how), "key-frequency")
+        # One row per key on both sides, so this join has no hot key.
         frequency = "_rows"
-    total = table.agg(F.sum(F.col(frequency) * row_bytes(table))).first()[0] or 0
-    hot_from = total / budget
-    payload = [c for c in table.columns if c != "_rows"]
-    hot = table.where(F.col(frequency) >= hot_from).select(payload)
-    cold = table.where(F.col(frequency) < hot_from).select(payload)
-    by_broadcast = rows.join(F.broadcast(hot), key)
-    by_shuffle = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+        counted = rows.groupBy(key).agg(F.count("*").alias(frequency))
+        sizes = stage(counted.join(sizes, key, "left").fillna(ROW_OVERHEAD, ["_bytes"]), "key-sizes")
+    total = sizes.agg(F.sum(F.col(frequency) * F.col("_bytes"))).first()[0] or 0
+    hot = F.broadcast(sizes.where(F.col(frequency) >= total / budget).select(key))
+    hot_table, cold_table = table.join(hot, key, "left_semi"), table.join(hot, key, "left_anti")
+    by_broadcast = rows.join(hot, key, "left_semi").join(F.broadcast(hot_table), key, how)
+    by_shuffle = rows.join(hot, key, "left_anti").join(cold_table, key, how)
     return by_broadcast.unionByName(by_shuffle)
 
 

@@ -36,8 +36,8 @@ def select_books(pages: DataFrame, raw: DataFrame, saved: DataFrame, target_byte
     return running_prefix(sized, ["page_no", "position"], F.col("n_bytes"), target_bytes, "running_bytes")
 
 
-def new_files(selected: DataFrame, raw: DataFrame) -> DataFrame:
+def new_files(selected: DataFrame, raw: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
     """``(file_name, body)`` of the selected books that were not saved before, one per name."""
-    # Sorting by name decides nothing here: equal names in a catalog are the same book.
+    # A name holds the book's id, so entries with equal names are the same book.
     wanted = selected.where("not existing").groupBy("file_name").agg(F.min("url").alias("url"))
-    return wanted.join(clean_texts(raw), "url").select("file_name", "body")
+    return join_on_key(wanted, clean_texts(raw), "url", budget=budget).select("file_name", "body")

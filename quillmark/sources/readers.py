@@ -17,7 +17,7 @@ def spread(df: DataFrame, partitions: int = 0) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() > 2 * cores:
         return df
-    return df.repartition(2 * cores)
+    return df.repartition(cores)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str], partitions: int = 0) -> DataFrame:
