@@ -186,7 +186,7 @@ def re_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_SQL_RE_DF}, {_SQL_N} SELECT term, df, round(ln((n + 1) / (df + 1)) + 1, 6) + 0.0::DOUBLE AS idf FROM df, n",
 )
 def re_idf_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tfidf.fit(_docs(spark, sf_dir), _re(), keep=LONG)
+    model = tfidf.fit(counts.document_term_statistics(_docs(spark, sf_dir), _re(), LONG))
     return _rounded(model.idf(scoring.idf_smooth), "idf")
 
 
@@ -237,7 +237,7 @@ def ws_tfidf_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def df_side_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus counts scored with document frequencies of another corpus; missing words get 1."""
     turns = readers.read_table(spark, f"{sf_dir}/conversations.parquet", ["text"])
-    side = tfidf.fit(turns, _ws()).vocabulary.withColumnRenamed("term", "word")
+    side = tfidf.fit(counts.document_term_statistics(turns, _ws())).vocabulary.withColumnRenamed("term", "word")
     scored = joins.with_df(counts.word_count(_docs(spark, sf_dir), _ws()), side)
     score = F.col("tf") * scoring.idf_plain(_n_docs(spark, sf_dir), F.col("df"))
     return _rounded(scored.select("word", "df", score.alias("tfidf")))
@@ -329,13 +329,17 @@ def stopword_filtered_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_SQL_VOCABULARY} SELECT term, c, df, rank FROM vocabulary WHERE rank <= 100",
 )
 def vocabulary_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = counts.term_statistics(_lines(spark, sf_dir), _line_tokens(), LINE_KEEP, corpus_counts=True)
-    known = stats.where("term is not null and df >= 2")
+    lines = counts.term_frequency(_lines(spark, sf_dir), [], _line_tokens(), keep=LINE_KEEP)
+    known = counts.term_statistics(lines).where("df >= 2")
     return prefix.top_k(known, [F.desc("c"), F.col("term")], 100).select("term", "c", "df", "rank")
 
 
+VOCAB_SIZE = 500_000
+
+
 def _line_model(lines: DataFrame) -> tfidf.TermModel:
-    return tfidf.fit_vocabulary(lines, _line_tokens(), LINE_KEEP, min_df=2, vocab_size=500_000)
+    terms = counts.term_frequency(lines, [], _line_tokens(), keep=LINE_KEEP, document_rows=True)
+    return tfidf.fit(counts.term_statistics(terms), min_df=2, vocab_size=VOCAB_SIZE)
 
 
 @query(
@@ -358,8 +362,10 @@ _SQL_LINE_TFIDF = (
 
 @query("line_tfidf", _SQL_LINE_TFIDF)
 def line_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir)
-    return _rounded(tfidf.score(lines, LINE, _line_tokens(), _line_model(lines), scoring.idf_ml, LINE_KEEP))
+    scores = tfidf.document_tfidf(
+        _lines(spark, sf_dir), LINE, _line_tokens(), scoring.idf_ml, LINE_KEEP, min_df=2, vocab_size=VOCAB_SIZE
+    )
+    return _rounded(scores)
 
 
 @query("ml_line_tfidf", _SQL_LINE_TFIDF)

@@ -50,15 +50,22 @@ def _run_counts(term: str, n: str) -> Column:
 
 
 def term_frequency(docs: DataFrame, keys: list[str], tokens: Column, term: str = "term",
-                   tf: str = "tf", keep: Keep = NOT_EMPTY) -> DataFrame:
+                   tf: str = "tf", keep: Keep = NOT_EMPTY, document_rows: bool = False) -> DataFrame:
     """Count of every term in every document, without a shuffle.
 
     A document is one row, so its terms are counted inside the row: sort the tokens, measure
     the runs. Grouping the exploded tokens would send about as many bytes as the corpus
     holds over the network.
+
+    ``document_rows`` adds a row with a null term and 0 for every document, so that the
+    documents, also those without a term, can be counted from the result.
     """
     runs = _term_runs(docs, keys, tokens)
-    return runs.select(*keys, F.inline(_run_counts(term, tf))).where(keep(F.col(term)))
+    pairs, kept = _run_counts(term, tf), keep(F.col(term))
+    if document_rows:
+        document = F.struct(F.lit(None).cast("string").alias(term), F.lit(0).cast("bigint").alias(tf))
+        pairs, kept = F.array_append(pairs, document), F.col(term).isNull() | kept
+    return runs.select(*keys, F.inline(pairs)).where(kept)
 
 
 def document_frequency(docs: DataFrame, tokens: Column, term: str = "term", df: str = "df",
@@ -67,22 +74,18 @@ def document_frequency(docs: DataFrame, tokens: Column, term: str = "term", df:
     return lines_by_key(explode_tokens(docs, [], F.array_distinct(tokens), term, keep), term, df)
 
 
-def term_statistics(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY,
-                    corpus_counts: bool = False) -> DataFrame:
-    """``(term, df)`` and, on request, the corpus count ``c`` of each term.
+def term_statistics(counts: DataFrame) -> DataFrame:
+    """``(term, df, c)``: documents and tokens of each term, from counts per document.
 
-    Every document also adds one null term, so the row with the null term holds the number
-    of documents, empty ones included. It comes from the same pass over the text and, unlike
-    an observed metric, stays exact when a lost executor makes tasks run again.
+    If ``counts`` has document rows, the null term's ``df`` is the number of documents. It
+    comes from the same pass over the text and, unlike an observed metric, stays exact when
+    a lost executor makes tasks run again.
     """
+    return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("c"))
+
+
+def document_term_statistics(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> DataFrame:
+    """``(term, df)`` straight from the documents, with the null term as above."""
+    terms = F.array_append(F.array_distinct(tokens), F.lit(None).cast("string"))
     kept = F.col("term").isNull() | keep(F.col("term"))
-    if not corpus_counts:
-        terms = F.array_append(F.array_distinct(tokens), F.lit(None).cast("string"))
-        return docs.select(F.explode(terms).alias("term")).where(kept).groupBy("term").agg(
-            F.count("*").alias("df")
-        )
-    document = F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf"))
-    counts = _term_runs(docs, [], tokens).select(
-        F.inline(F.array_append(_run_counts("term", "tf"), document))
-    )
-    return counts.where(kept).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("c"))
+    return lines_by_key(docs.select(F.explode(terms).alias("term")).where(kept), "term")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.scoring import idf_plain, megabytes, per, six_decimals
 from quillmark.functions.tokenizers import NOT_EMPTY, Keep
-from quillmark.operators.counts import term_statistics, word_count
+from quillmark.operators.counts import term_frequency, term_statistics, word_count
 from quillmark.sources.readers import text_lines
 
 
@@ -30,7 +30,7 @@ def corpus_profile(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def token_profile(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> DataFrame:
     """Documents, tokens, tokens per document and vocabulary size, from one pass."""
-    stats = term_statistics(docs, tokens, keep, corpus_counts=True)
+    stats = term_statistics(term_frequency(docs, [], tokens, keep=keep, document_rows=True))
     n_docs = F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("df"))), F.lit(0))
     total_tokens = F.coalesce(F.sum("c"), F.lit(0))
     return stats.agg(

@@ -1,9 +1,10 @@
 """TF-IDF at document, line and corpus scope.
 
-Document and line scope work in two steps, as an estimator does. ``fit`` makes one pass
-over the text, shuffles partial document frequencies and stages the vocabulary; ``score``
-then counts terms again inside each row and joins the vocabulary. The second pass over the
-text costs less than storing or shuffling one row per document and term.
+Document and line scope go through three steps. ``document_terms`` tokenizes each text once,
+counts its terms inside the row, and stages the counts: tokenizing is by far the dearest
+step, and the counts are needed twice. ``fit`` aggregates them into a vocabulary, the only
+step that always shuffles, and what it shuffles is one row per task and term. ``score``
+joins the two.
 """
 
 from collections.abc import Callable
@@ -30,7 +31,7 @@ NUMBERS_BYTES = 64
 class TermModel:
     """Number of documents, the vocabulary ``(term, df)`` as a staged table, and its size.
 
-    A vocabulary fitted with corpus counts also has ``c``.
+    The vocabulary also has the corpus count ``c`` if the statistics had it.
     """
 
     n_docs: int
@@ -46,23 +47,21 @@ class TermModel:
         return running_prefix(self.vocabulary, _by_count(), F.lit(1), 0, "rank")
 
 
-def fit(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> TermModel:
-    """Count documents and document frequencies; all terms are kept."""
-    stats = stage(term_statistics(docs, tokens, keep), "terms")
-    n_docs, _, n_bytes = _measure(stats, 1)
-    return TermModel(n_docs, stats.where("term is not null"), n_bytes)
+def document_terms(docs: DataFrame, keys: list[str], tokens: Column, keep: Keep = NOT_EMPTY) -> DataFrame:
+    """Staged ``(keys, term, tf)``, with a null-term row for every document."""
+    return stage(term_frequency(docs, keys, tokens, keep=keep, document_rows=True), "document-terms")
 
 
-def fit_vocabulary(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY, min_df: int = 2,
-                   vocab_size: int = 500_000) -> TermModel:
-    """Keep the ``vocab_size`` most frequent terms among those in ``min_df`` documents or more.
+def fit(statistics: DataFrame, min_df: int = 1, vocab_size: int | None = None) -> TermModel:
+    """Vocabulary from term statistics that hold the number of documents under the null term.
 
-    Terms rank by corpus count, then by term.
+    Terms in fewer than ``min_df`` documents are left out. Of the others the ``vocab_size``
+    most frequent are kept, by corpus count and then by term.
     """
-    stats = stage(term_statistics(docs, tokens, keep, corpus_counts=True), "terms")
+    stats = stage(statistics, "terms")
     n_docs, n_terms, n_bytes = _measure(stats, min_df)
     known = stats.where(F.col("term").isNotNull() & (F.col("df") >= min_df))
-    if n_terms > vocab_size:
+    if vocab_size is not None and n_terms > vocab_size:
         known = stage(top_k(known, _by_count(), vocab_size).drop("rank"), "vocabulary")
         n_bytes = known.agg(_vocabulary_bytes(F.col("term"))).first()[0]
     return TermModel(n_docs, known, n_bytes)
@@ -86,20 +85,20 @@ def _measure(stats: DataFrame, min_df: int) -> tuple[int, int, int]:
     return n_docs, n_terms, n_bytes
 
 
-def score(docs: DataFrame, keys: list[str], tokens: Column, model: TermModel, formula: Idf,
-          keep: Keep = NOT_EMPTY, budget: int = BROADCAST_BYTES) -> DataFrame:
+def score(counts: DataFrame, keys: list[str], model: TermModel, formula: Idf,
+          budget: int = BROADCAST_BYTES) -> DataFrame:
     """``(keys, term, tfidf)`` with ``tfidf = tf * idf``, for the terms of the vocabulary."""
-    tf = term_frequency(docs, keys, tokens, keep=keep)
-    # df is the number of tf rows of a term, so it doubles as the join's key frequency.
-    joined = join_on_key(tf, model.idf(formula), "term", frequency="df", size=model.n_bytes, budget=budget)
+    terms = counts.where("term is not null")
+    # df is the number of count rows of a term, so it doubles as the join's key frequency.
+    joined = join_on_key(terms, model.idf(formula), "term", frequency="df", size=model.n_bytes, budget=budget)
     return joined.select(*keys, "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def document_tfidf(docs: DataFrame, keys: list[str], tokens: Column, formula: Idf,
-                   keep: Keep = NOT_EMPTY, budget: int = BROADCAST_BYTES) -> DataFrame:
-    """Fit and score the same documents."""
-    model = fit(docs, tokens, keep)
-    return score(docs, keys, tokens, model, formula, keep, budget)
+def document_tfidf(docs: DataFrame, keys: list[str], tokens: Column, formula: Idf, keep: Keep = NOT_EMPTY,
+                   min_df: int = 1, vocab_size: int | None = None, budget: int = BROADCAST_BYTES) -> DataFrame:
+    """All three steps over one corpus."""
+    counts = document_terms(docs, keys, tokens, keep)
+    return score(counts, keys, fit(term_statistics(counts), min_df, vocab_size), formula, budget)
 
 
 def corpus_tfidf_first_pass(counts: DataFrame, n_docs: Column) -> DataFrame:

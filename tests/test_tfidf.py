@@ -79,17 +79,18 @@ def test_scores_do_not_depend_on_the_budget(corpus, budget):
     assert scored(df, "doc_id", "term") == SMOOTH
 
 
-def line_scores(lines):
-    model = tfidf.fit_vocabulary(lines, line(), LINE_KEEP)
-    return tfidf.score(lines, ["doc_id", "line_no"], line(), model, scoring.idf_ml, LINE_KEEP)
+def line_model(lines, keep=LINE_KEEP, **limits):
+    terms = counts.term_frequency(lines, [], line(), keep=keep, document_rows=True)
+    return tfidf.fit(counts.term_statistics(terms), **limits)
 
 
 def test_line_scores_rows_and_vectors(corpus):
     lines = readers.line_documents(corpus, ["doc_id"])
     want = {(1, 0, "cat"): 0.510826, (3, 0, "cat"): 1.021651}
     key = ["doc_id", "line_no"]
-    assert scored(line_scores(lines), *key, "term") == want
-    model = tfidf.fit_vocabulary(lines, line(), LINE_KEEP)
+    got = tfidf.document_tfidf(lines, key, line(), scoring.idf_ml, LINE_KEEP, min_df=2, vocab_size=500_000)
+    assert scored(got, *key, "term") == want
+    model = line_model(lines, min_df=2)
     pipeline = vectors.fit_vector_pipeline(lines, model, "line")
     scores = pipeline.transform(lines).select(*key, "tfidf")
     assert scored(vectors.vector_rows(scores, key, pipeline, model), *key, "term") == want
@@ -102,13 +103,13 @@ def test_blank_lines_and_empty_documents_are_documents(spark, corpus):
     blank = spark.createDataFrame([(9, "x\n\ny\n"), (10, "")], "doc_id long, text string")
     more = readers.line_documents(corpus.union(blank), ["doc_id"])
     assert more.count() == lines.count() + 3
-    assert tfidf.fit(more, line(), LINE_KEEP).n_docs == lines.count() + 3
-    assert tfidf.fit(corpus.union(blank), ws()).n_docs == 5
+    assert line_model(more).n_docs == lines.count() + 3
+    assert tfidf.fit(counts.document_term_statistics(corpus.union(blank), ws())).n_docs == 5
 
 
 def test_no_documents_is_an_error(corpus):
     with pytest.raises(ValueError):
-        tfidf.fit(corpus.where("false"), ws())
+        tfidf.fit(counts.document_term_statistics(corpus.where("false"), ws()))
 
 
 @pytest.mark.parametrize("budget", [1, 10_000])
@@ -141,15 +142,14 @@ def test_token_and_df_properties(corpus):
     assert rows(counts.term_frequency(corpus, ["doc_id"], ws()), "doc_id", "term", "tf") == rows(
         grouped, "doc_id", "term", "tf")
     assert rows(counts.document_frequency(corpus, ws()), "term", "df") == rows(
-        counts.term_statistics(corpus, ws()).where("term is not null"), "term", "df")
-    both = counts.term_statistics(corpus, ws(), corpus_counts=True)
+        counts.document_term_statistics(corpus, ws()).where("term is not null"), "term", "df")
+    both = counts.term_statistics(counts.term_frequency(corpus, [], ws(), document_rows=True))
     assert both.where("term is null").select("df", "c").first()[:] == (3, 0)
     assert rows(both.where("term is not null"), "term", "c") == rows(word_counts(corpus), "word", "tf")
 
 
 def test_limited_vocabulary(corpus):
     lines = readers.line_documents(corpus, ["doc_id"])
-    one = tfidf.fit_vocabulary(lines, line(), LONG, min_df=1, vocab_size=2)
-    assert rows(one.vocabulary, "term", "c") == [("cat", 3), ("the", 4)]
-    ranked = rows(tfidf.fit_vocabulary(lines, line(), LONG, min_df=1).ranked(), "rank", "term")
+    assert rows(line_model(lines, LONG, vocab_size=2).vocabulary, "term", "c") == [("cat", 3), ("the", 4)]
+    ranked = rows(line_model(lines, LONG).ranked(), "rank", "term")
     assert [term for _, term in ranked] == ["the", "cat", "caf", "dog", "dog_1", "don", "sit"]
