@@ -521,8 +521,7 @@ def resume_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHERE running_bytes - n_bytes < 1048576",
 )
 def byte_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sizes = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    sizes = corpus_prep.text_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
     target = text.size_in_bytes(1, "MB")
     return prefix.running_prefix(sizes, ["doc_id"], F.col("n_bytes"), target, "running_bytes")
 
@@ -534,8 +533,7 @@ def byte_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def corpus_running_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The byte budget without a limit."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sizes = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    sizes = corpus_prep.text_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
     return prefix.running_prefix(sizes, ["doc_id"], F.col("n_bytes"), 0, "running_bytes")
 
 

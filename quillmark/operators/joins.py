@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillmark.sources.staging import stage
 
 # Most bytes of a table that may be broadcast.
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 16
 
 

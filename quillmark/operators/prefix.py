@@ -12,7 +12,8 @@ def running_prefix(rows: DataFrame, order: list[str | Column], weight: Column, t
     """Rows in ``order`` up to and with the one whose running total reaches ``target``.
 
     A target of 0 keeps all rows. ``order`` must be unique. The result has the columns of
-    ``rows`` and the running total.
+    ``rows`` and the running total. ``rows`` are read twice, to sample the ranges and to cut
+    them, so they should be narrow, and staged if they are dear to compute.
 
     One window over all rows would run in one task. Here the rows are cut into ordered,
     evenly filled slices by a range partitioning; a table with one row per slice gives each

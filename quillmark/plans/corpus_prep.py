@@ -16,6 +16,11 @@ def clean_texts(raw: DataFrame) -> DataFrame:
     return raw.select("url", strip_boilerplate(F.col("raw")).alias("body"))
 
 
+def text_sizes(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Staged ``(key, n_bytes)``: the texts are read once, whatever follows."""
+    return stage(docs.select(key, F.octet_length(text).cast("bigint").alias("n_bytes")), "text-sizes")
+
+
 def select_books(pages: DataFrame, raw: DataFrame, saved: DataFrame, target_bytes: int,
                  budget: int = BROADCAST_BYTES) -> DataFrame:
     """Books of the corpus in catalog order, up to the one that reaches ``target_bytes``.
@@ -33,6 +38,7 @@ def select_books(pages: DataFrame, raw: DataFrame, saved: DataFrame, target_byte
         F.col("saved_bytes").isNotNull().alias("existing"),
         F.coalesce("saved_bytes", "clean_bytes").alias("n_bytes"),
     ).where("n_bytes is not null")
+    sized = stage(sized, "sized-books")
     return running_prefix(sized, ["page_no", "position"], F.col("n_bytes"), target_bytes, "running_bytes")
 
 

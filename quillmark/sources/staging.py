@@ -1,7 +1,8 @@
 """Tables written between two jobs.
 
 A staged table cuts lineage: a lost executor costs the tasks that read it, never the shuffle
-that made it. It lives in the shared folder that the cluster names.
+that made it. It lives in the shared folder that the cluster names, below a folder of the
+application, until ``drop_staged`` is called.
 """
 
 import tempfile
@@ -26,9 +27,13 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/quillmark-{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the staging folder."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -36,3 +41,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it once the results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -10,6 +10,7 @@ from conftest import rows
 from quillmark.functions import stopwords, text, tokenizers
 from quillmark.operators import counts, profile
 from quillmark.sources import catalog, readers, writers
+from quillmark.sources import staging
 from quillmark.sources.staging import staging_path
 
 
@@ -164,6 +165,34 @@ def test_record_lines_round_trip(spark):
     assert rows(writers.score_lines(scores, "word", "s"), "value") == [("a\t1.500000",), ("b\t-0.405465",)]
 
 
+def test_sorted_parts(spark):
+    df = spark.createDataFrame([(w, 1) for w in "q w e r t y u i o p".split()], "word string, n long")
+    assert [r[0] for r in writers.sorted_by_word(df, "word").collect()] == sorted("qwertyuiop")
+
+
+def test_parquet_in_parts(spark):
+    path = staging_path(spark, "parts")
+    writers.write_table(spark.range(100), path, files=3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3
+    writers.write_table(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_staging_folder(spark, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert staging.staging_root(spark) == root
+    assert staging_path(spark, "x").startswith(root + "/quillmark-")
+    staged = staging.stage(spark.range(5), "five")
+    assert staged.count() == 5
+    monkeypatch.setattr(staging, "_SETTING", "spark.checkpoint.not.set")
+    assert staging.staging_root(spark)  # a temporary folder, since the master is local
+    staging.staging_path(spark, "y")
+    monkeypatch.undo()
+    staging.drop_staged(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(staged.inputFiles()[0]).count()
+
+
 def test_file_scans(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.txt").write_bytes(b"one\ntwo\n\nthree\n")
