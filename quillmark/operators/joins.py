@@ -18,6 +18,11 @@ def row_bytes(table: DataFrame) -> Column:
     return (reduce(lambda a, b: a + b, sizes) + F.lit(ROW_OVERHEAD)).cast("bigint")
 
 
+def total_bytes(table: DataFrame) -> int:
+    """Size of a table by ``row_bytes``."""
+    return table.agg(F.sum(row_bytes(table))).first()[0] or 0
+
+
 def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
                 frequency: str | None = None, size: int | None = None,
                 budget: int = BROADCAST_BYTES) -> DataFrame:
@@ -38,20 +43,27 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
     counted first.
     """
     if size is None:
-        size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
+        size = total_bytes(table)
     if size <= budget:
         return rows.join(F.broadcast(table), key, how)
-    sizes = table.select(key, row_bytes(table).alias("_bytes"), *([frequency] if frequency else []))
-    if frequency is None:
+    if frequency is not None:
+        weight = F.sum(F.col(frequency) * row_bytes(table))
+        hot_from = (table.agg(weight).first()[0] or 0) / budget
+        hot_table = table.where(F.col(frequency) >= hot_from)
+        cold_table = table.where(F.col(frequency) < hot_from)
+        hot = hot_table.select(key)
+    else:
         # One row per key on both sides, so this join has no hot key.
-        frequency = "_rows"
-        counted = rows.groupBy(key).agg(F.count("*").alias(frequency))
-        sizes = stage(counted.join(sizes, key, "left").fillna(ROW_OVERHEAD, ["_bytes"]), "key-sizes")
-    total = sizes.agg(F.sum(F.col(frequency) * F.col("_bytes"))).first()[0] or 0
-    hot = F.broadcast(sizes.where(F.col(frequency) >= total / budget).select(key))
-    hot_table, cold_table = table.join(hot, key, "left_semi"), table.join(hot, key, "left_anti")
-    by_broadcast = rows.join(hot, key, "left_semi").join(F.broadcast(hot_table), key, how)
-    by_shuffle = rows.join(hot, key, "left_anti").join(cold_table, key, how)
+        counted = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+        sizes = counted.join(table.select(key, row_bytes(table).alias("_bytes")), key, "left")
+        sizes = stage(sizes.fillna(ROW_OVERHEAD, ["_bytes"]), "key-sizes")
+        hot_from = (sizes.agg(F.sum(F.col("_rows") * F.col("_bytes"))).first()[0] or 0) / budget
+        hot = sizes.where(F.col("_rows") >= hot_from).select(key)
+        hot_table = table.join(F.broadcast(hot), key, "left_semi")
+        cold_table = table.join(F.broadcast(hot), key, "left_anti")
+    hot_rows = rows if how == "inner" else rows.join(F.broadcast(hot), key, "left_semi")
+    by_broadcast = hot_rows.join(F.broadcast(hot_table), key, how)
+    by_shuffle = rows.join(F.broadcast(hot), key, "left_anti").join(cold_table, key, how)
     return by_broadcast.unionByName(by_shuffle)
 
 

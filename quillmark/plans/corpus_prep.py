@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.functions.text import strip_boilerplate
-from quillmark.operators.joins import BROADCAST_BYTES, join_on_key
+from quillmark.operators.joins import BROADCAST_BYTES, join_on_key, total_bytes
 from quillmark.operators.prefix import running_prefix
 from quillmark.operators.resume import with_saved_bytes
 from quillmark.sources.catalog import read_catalog, text_books
@@ -46,4 +46,10 @@ def new_files(selected: DataFrame, raw: DataFrame, budget: int = BROADCAST_BYTES
     """``(file_name, body)`` of the selected books that were not saved before, one per name."""
     # A name holds the book's id, so entries with equal names are the same book.
     wanted = selected.where("not existing").groupBy("file_name").agg(F.min("url").alias("url"))
-    return join_on_key(wanted, clean_texts(raw), "url", budget=budget).select("file_name", "body")
+    wanted = stage(wanted, "wanted-files")
+    # A list of names that can be broadcast saves the shuffle of the texts.
+    if total_bytes(wanted) <= budget:
+        files = clean_texts(raw).join(F.broadcast(wanted), "url")
+    else:
+        files = join_on_key(wanted, clean_texts(raw), "url", budget=budget)
+    return files.select("file_name", "body")
