@@ -442,21 +442,21 @@ def _book_url(kind: str) -> Column:
 
 
 def _catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed page per document; five sorts of ``formats``, and pages that are not JSON."""
+    """One landed page per document; its ``formats`` depend on the language, and pages from
+    two sources are not JSON."""
     utf8, ascii_, plain = text.TEXT_MEDIA_TYPES
-    sort = F.col("doc_id") % 5
+    lang = F.col("lang")
     formats = (
-        F.when(sort == 0, F.create_map(F.lit(utf8), _book_url(".txt"), F.lit(ascii_), _book_url(".zip")))
-        .when(sort == 1, F.create_map(F.lit(utf8), _book_url(".zip"), F.lit(ascii_), _book_url("-a.txt"),
-                                      F.lit(plain), _book_url("-p.txt")))
-        .when(sort == 2, F.create_map(F.lit("text/plain; charset=z"), _book_url("-z.txt"),
-                                      F.lit("text/plain; charset=iso-8859-1"), _book_url("-i.txt")))
-        .when(sort == 3, F.create_map(F.lit("text/html"), _book_url(".html")))
+        F.when(lang == "en", F.create_map(F.lit(utf8), _book_url(".txt"), F.lit(ascii_), _book_url(".zip")))
+        .when(lang == "fr", F.create_map(F.lit(utf8), _book_url(".zip"), F.lit(ascii_), _book_url("-a.txt"),
+                                         F.lit(plain), _book_url("-p.txt")))
+        .when(lang == "de", F.create_map(F.lit("text/plain; charset=z"), _book_url("-z.txt"),
+                                         F.lit("text/plain; charset=iso-8859-1"), _book_url("-i.txt")))
+        .when(F.col("source") != "src1", F.create_map(F.lit("text/html"), _book_url(".html")))
     )
-    title = F.concat_ws(" ", F.lit("Tale\tof:"), "lang", "source", F.lit("— no."), F.col("doc_id").cast("string"))
-    book = F.struct(F.col("doc_id").alias("id"), title.alias("title"), formats.alias("formats"))
+    book = F.struct(F.col("doc_id").alias("id"), _title().alias("title"), formats.alias("formats"))
     page = F.to_json(F.struct(F.array(book).alias("results")))
-    broken = F.col("doc_id") % 7 == 6
+    broken = F.col("source").isin("src6", "src13")
     docs = readers.read_table(spark, f"{sf_dir}/documents.parquet", ["doc_id", "lang", "source"])
     return docs.select(
         F.col("doc_id").alias("page_no"),
@@ -464,13 +464,17 @@ def _catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _title() -> Column:
+    return F.concat_ws(" ", F.lit("Tale\tof:"), "lang", "source", F.lit("— no."), F.col("doc_id").cast("string"))
+
+
 _SQL_URL = (
-    "'http://books/' || doc_id::VARCHAR || CASE doc_id % 5 WHEN 0 THEN '.txt' WHEN 1 THEN '-a.txt' ELSE '-i.txt' END"
+    "'http://books/' || doc_id::VARCHAR || CASE lang WHEN 'en' THEN '.txt' WHEN 'fr' THEN '-a.txt' ELSE '-i.txt' END"
 )
 _SQL_NAME = "doc_id::VARCHAR || '_Tale_of_' || lang || '_' || source || '__no_' || doc_id::VARCHAR || '.txt'"
 _SQL_BOOKS = (
     f"books AS (SELECT doc_id AS page_no, 0 AS position, doc_id AS id, {_SQL_URL} AS url, {_SQL_NAME} AS file_name "
-    "FROM documents WHERE doc_id % 5 < 3 AND doc_id % 7 <> 6)"
+    "FROM documents WHERE lang IN ('en', 'fr', 'de') AND source NOT IN ('src6', 'src13'))"
 )
 _SQL_SAVED = (
     f"saved AS (SELECT {_SQL_NAME} AS file_name, (n_chars * quality)::BIGINT AS n_bytes "
@@ -487,9 +491,8 @@ def _saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of an earlier run: those of labelled documents, empty where quality is 0."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    title = F.concat_ws(" ", F.lit("Tale\tof:"), "lang", "source", F.lit("— no."), F.col("doc_id").cast("string"))
     return docs.join(labels, "doc_id").select(
-        text.safe_file_name(F.col("doc_id"), title).alias("file_name"),
+        text.safe_file_name(F.col("doc_id"), _title()).alias("file_name"),
         (F.col("n_chars") * F.col("quality")).cast("bigint").alias("n_bytes"),
     )
 
@@ -539,9 +542,8 @@ def corpus_running_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed raw texts by URL."""
-    sort = F.col("doc_id") % 5
-    kind = F.when(sort == 0, ".txt").when(sort == 1, "-a.txt").otherwise("-i.txt")
-    docs = _docs(spark, sf_dir)
+    kind = F.when(F.col("lang") == "en", ".txt").when(F.col("lang") == "fr", "-a.txt").otherwise("-i.txt")
+    docs = _docs(spark, sf_dir, "lang")
     return docs.select(_book_url("").alias("base"), kind.alias("kind"), _raw_book().alias("raw")).select(
         F.concat("base", "kind").alias("url"), "raw"
     )
