@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, partitions: int = 0) -> DataFrame:
-    """Give every core work before the expensive tokenizing starts.
+    """Give every core work before the expensive tokenizing starts; ``df`` is a plain scan.
 
     A count given by the caller is used as it is. Otherwise rows are dealt out only if the
     scan has at most two splits per core: such inputs are small (under two full splits for
