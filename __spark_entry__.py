@@ -15,6 +15,16 @@ from quillmark.sources import catalog, readers, writers
 from quillmark.sources.staging import staging_path
 from quillmark.streaming import messages
 
+# The operators for training data are a part that can be left out.
+try:
+    import corpus_pipeline
+    from quillmark.llm import queries as _training_data
+except ImportError:
+    _TRAINING_DATA_QUERIES, _TRAINING_DATA_ORACLE = {}, {}
+else:
+    _TRAINING_DATA_QUERIES = _training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+    _TRAINING_DATA_ORACLE = _training_data.ORACLE_SQL
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -38,11 +48,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _TRAINING_DATA_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _TRAINING_DATA_ORACLE
 
 
 # Inputs
