@@ -10,8 +10,10 @@ from quillmark.llm import (
     decontamination,
     fingerprints,
     language_id,
+    lm_scoring,
     mixing,
     near_dedup,
+    pii,
     secret_scan,
     token_counts,
 )
@@ -56,6 +58,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), token_counts.read_vocabulary())
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, sf_dir))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return pii.find_personal_data(docs, pii.fit(docs))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir, "source"))
 
@@ -71,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }

@@ -58,6 +58,8 @@ class PieceCounter:
         for piece, score in vocabulary.pieces.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        # An automaton without words cannot be asked.
+        self.matches = self.automaton.iter if vocabulary.pieces else lambda unit: ()
         self.unknown = vocabulary.unknown
         alphabet = {c for piece in vocabulary.pieces for c in piece}
         inside = any(BLANK in piece.lstrip(BLANK) for piece in vocabulary.pieces)
@@ -72,7 +74,7 @@ class PieceCounter:
         """Pieces of the best segmentation of one unit."""
         best, count = [0.0], [0]
         at, top, pieces, single = 0, None, 0, False
-        for end, (length, score) in self.automaton.iter(unit):
+        for end, (length, score) in self.matches(unit):
             while at < end:
                 top, pieces = self._close(unit, at, top, pieces, single, best, count)
                 at, single = at + 1, False

@@ -1,0 +1,76 @@
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from quillmark.llm import mixing
+
+
+@pytest.fixture(scope="module")
+def folder(spark, sf_dir, tmp_path_factory):
+    """The documents of the test data and planted cases, with the benchmark."""
+    path = tmp_path_factory.mktemp("pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    clean = "This is a clean text of the corpus and it says that the cat sat on the mat by the door as it was. "
+    passage = bench.orderBy("item_id").first()["text"]
+    planted = [
+        (900_001, clean * 2, "en", "new", None), (900_002, clean * 2, "en", "new", None), (900_003, "12 %% 34 $$", "en", "new", None),
+        (900_004, None, "en", "new", None), (900_005, "The words of the day and then " + passage + " and so on.", "en", "new", None),
+        (900_006, "the token = abcdefgh12345 is in the code of the day and it was there for all of us", "en", None, 84),
+    ]
+    docs.unionByName(spark.createDataFrame(planted, docs.schema)).write.parquet(f"{path}/documents.parquet")
+    bench.write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def after(spark, folder):
+    """What each stage returns."""
+    tables, docs = {}, spark.read.parquet(f"{folder}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES:
+        docs = function(spark, docs, folder)
+        docs.write.parquet(f"{folder}/{name}")
+        tables[name] = docs = spark.read.parquet(f"{folder}/{name}")
+    return tables
+
+
+def ids(table):
+    return {r["doc_id"] for r in table.select("doc_id").collect()}
+
+
+def test_columns(after):
+    for name in list(after)[:-1]:
+        assert after[name].columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_each_stage_takes_its_cases_and_leaves_the_others(after, spark, folder):
+    start = ids(spark.read.parquet(f"{folder}/documents.parquet"))
+    language = ids(after["language_id"])
+    assert start - language >= {900_003, 900_004} and len(start - language) < 10
+    single = ids(after["near_dedup"])
+    assert 900_001 in single and 900_002 not in single
+    unseen = ids(after["decontamination"])
+    assert 900_005 in single and 900_005 not in unseen and 900_001 in unseen
+    assert ids(after["secret_scan"]) == unseen
+    row = after["secret_scan"].where("doc_id = 900006").first()
+    assert "abcdefgh12345" not in row["text"] and row["n_chars"] == len(row["text"])
+
+
+def test_the_mix_comes_near_its_targets(after):
+    rows = mixing.mix(after["secret_scan"]).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("most"))
+    mixed = after["mixing"].groupBy("source").agg(F.sum(mixing.words(F.col("text"))).alias("taken")).collect()
+    assert sorted(r["taken"] for r in rows.collect() if r["taken"]) == sorted(r["taken"] for r in mixed)
+    assert all(abs(r["taken"] - r["target"]) <= r["most"] for r in rows.collect())
+
+
+def test_run_gives_the_rows_of_the_stages(spark, folder, after):
+    made = corpus_pipeline.run(spark, folder).select("doc_id", "copy_no")
+    assert made.exceptAll(after["mixing"].select("doc_id", "copy_no")).isEmpty()
+    assert made.count() == after["mixing"].count()
+
+
+def test_an_empty_table_passes_through(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, function in corpus_pipeline.STAGES:
+        docs = function(spark, docs, folder)
+        assert docs.count() == 0
