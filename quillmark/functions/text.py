@@ -15,6 +15,7 @@ TEXT_MEDIA_TYPES = [
 ]
 TEXT_PREFIX = "text/plain"
 
+# Longest file name without id and ending, and the name of a book without a title.
 MAX_NAME_LENGTH = 60
 DEFAULT_TITLE = "book"
 
@@ -41,12 +42,13 @@ def strip_boilerplate(raw: Column) -> Column:
 
 def safe_file_name(book_id: Column, title: Column) -> Column:
     """``<id>_<title>.txt`` with blanks as ``_``, unsafe characters dropped, 60 at most."""
+    # The JVM's \w is ASCII, as the class of letters, digits and underscore here has to be.
     cleaned = F.regexp_replace(F.translate(title, " \t", "__"), r"[^\w\-]+", "")
     name = F.substring(F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(DEFAULT_TITLE)), 1, MAX_NAME_LENGTH)
     return F.concat(book_id.cast("string"), F.lit("_"), name, F.lit(".txt"))
 
 
-def pick_text_url(formats: Column) -> Column:
+def plain_text_url(formats: Column) -> Column:
     """Plain-text URL from a media type to URL map, never a zip; null if there is none.
 
     Preferred media types come first, then any other ``text/plain`` type in key order.

@@ -28,9 +28,14 @@ def lines_by_key(records: DataFrame, word: str = "word", df: str = "df") -> Data
     return records.groupBy(word).agg(F.count("*").alias(df))
 
 
+def _some(tokens: Column) -> Column:
+    """A null text has no tokens, but is a document."""
+    return F.coalesce(tokens, F.array().cast("array<string>"))
+
+
 def _term_runs(docs: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
     """Sorted tokens of each row, and the 1-based positions where a run of equal ones ends."""
-    ordered = docs.select(*keys, F.sort_array(tokens).alias("_sorted"))
+    ordered = docs.select(*keys, F.sort_array(_some(tokens)).alias("_sorted"))
     run_ends = F.filter(
         F.sequence(F.lit(1), F.size("_sorted")),
         lambda i: ~F.get("_sorted", i - 1).eqNullSafe(F.get("_sorted", i)),
@@ -50,13 +55,17 @@ def _run_counts(term: str, n: str) -> Column:
 
 
 def term_frequency(docs: DataFrame, keys: list[str], tokens: Column, term: str = "term",
-                   tf: str = "tf", keep: Keep = NOT_EMPTY, document_rows: bool = False) -> DataFrame:
+                   tf: str = "tf", keep: Keep = NOT_EMPTY, document_rows: bool = False,
+                   chunked: bool = False) -> DataFrame:
     """Count of every term in every document, without a shuffle.
 
     A document is one row, so its terms are counted inside the row: sort the tokens, measure
     the runs. Grouping the exploded tokens would send about as many bytes as the corpus
     holds over the network.
 
+    ``chunked`` is for documents that are cut into several rows with equal ``keys``: the counts
+    of the rows are then added up, which is a shuffle of one row for each row and term.
+
     ``document_rows`` adds a row with a null term and 0 for every document, so that the
     documents, also those without a term, can be counted from the result.
     """
@@ -65,13 +74,19 @@ def term_frequency(docs: DataFrame, keys: list[str], tokens: Column, term: str =
     if document_rows:
         document = F.struct(F.lit(None).cast("string").alias(term), F.lit(0).cast("bigint").alias(tf))
         pairs, kept = F.array_append(pairs, document), F.col(term).isNull() | kept
-    return runs.select(*keys, F.inline(pairs)).where(kept)
+    counted = runs.select(*keys, F.inline(pairs)).where(kept)
+    return counted.groupBy(*keys, term).agg(F.sum(tf).alias(tf)) if chunked else counted
 
 
 def document_frequency(docs: DataFrame, tokens: Column, term: str = "term", df: str = "df",
-                       keep: Keep = NOT_EMPTY) -> DataFrame:
-    """Number of documents that hold each term."""
-    return lines_by_key(explode_tokens(docs, [], F.array_distinct(tokens), term, keep), term, df)
+                       keep: Keep = NOT_EMPTY, chunks_of: list[str] | None = None) -> DataFrame:
+    """Number of documents that hold each term.
+
+    ``chunks_of`` names the keys of documents that are cut into several rows; a term then
+    counts once for each key.
+    """
+    terms = explode_tokens(docs, chunks_of or [], F.array_distinct(tokens), term, keep)
+    return lines_by_key(terms.distinct() if chunks_of else terms, term, df)
 
 
 def term_statistics(counts: DataFrame) -> DataFrame:
@@ -86,6 +101,6 @@ def term_statistics(counts: DataFrame) -> DataFrame:
 
 def document_term_statistics(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> DataFrame:
     """``(term, df)`` straight from the documents, with the null term as above."""
-    terms = F.array_append(F.array_distinct(tokens), F.lit(None).cast("string"))
+    terms = F.array_append(F.array_distinct(_some(tokens)), F.lit(None).cast("string"))
     kept = F.col("term").isNull() | keep(F.col("term"))
     return lines_by_key(docs.select(F.explode(terms).alias("term")).where(kept), "term")

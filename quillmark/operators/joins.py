@@ -36,7 +36,8 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
       shuffled. With ``w = frequency * row bytes``, a key is hot if its frequency is at
       least ``sum(w) / budget``; the hot part of ``table`` then holds at most
       ``sum(w) / (sum(w) / budget) = budget`` bytes, however the keys are distributed, and
-      no key left to the shuffle has more than ``sum(w) / budget`` rows.
+      no key left to the shuffle has more than ``sum(w) / budget`` rows. ``rows`` are staged,
+      because both parts read them. Rows with a null key match nothing and are not shuffled.
 
     ``frequency`` names the column of ``table`` with the number of ``rows`` per key; keys of
     ``rows`` that ``table`` lacks must then be rare. Without it the keys of ``rows`` are
@@ -46,6 +47,7 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
         size = total_bytes(table)
     if size <= budget:
         return rows.join(F.broadcast(table), key, how)
+    rows = stage(rows, "join-rows")
     if frequency is not None:
         weight = F.sum(F.col(frequency) * row_bytes(table))
         hot_from = (table.agg(weight).first()[0] or 0) / budget
@@ -56,15 +58,21 @@ def join_on_key(rows: DataFrame, table: DataFrame, key: str, how: str = "inner",
         # One row per key on both sides, so this join has no hot key.
         counted = rows.groupBy(key).agg(F.count("*").alias("_rows"))
         sizes = counted.join(table.select(key, row_bytes(table).alias("_bytes")), key, "left")
-        sizes = stage(sizes.fillna(ROW_OVERHEAD, ["_bytes"]), "key-sizes")
+        # A key that the table lacks is broadcast by itself, if it is hot.
+        missing = (F.octet_length(F.col(key).cast("string")) + ROW_OVERHEAD).cast("bigint")
+        sizes = stage(sizes.where(F.col(key).isNotNull()).withColumn("_bytes", F.coalesce("_bytes", missing)), "key-sizes")
         hot_from = (sizes.agg(F.sum(F.col("_rows") * F.col("_bytes"))).first()[0] or 0) / budget
         hot = sizes.where(F.col("_rows") >= hot_from).select(key)
         hot_table = table.join(F.broadcast(hot), key, "left_semi")
         cold_table = table.join(F.broadcast(hot), key, "left_anti")
     hot_rows = rows if how == "inner" else rows.join(F.broadcast(hot), key, "left_semi")
     by_broadcast = hot_rows.join(F.broadcast(hot_table), key, how)
-    by_shuffle = rows.join(F.broadcast(hot), key, "left_anti").join(cold_table, key, how)
-    return by_broadcast.unionByName(by_shuffle)
+    with_key = rows.where(F.col(key).isNotNull())
+    by_shuffle = with_key.join(F.broadcast(hot), key, "left_anti").join(cold_table, key, how)
+    joined = by_broadcast.unionByName(by_shuffle)
+    if how == "left":
+        joined = joined.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+    return joined
 
 
 def with_df(counts: DataFrame, side_table: DataFrame, word: str = "word", df: str = "df",

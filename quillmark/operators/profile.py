@@ -3,9 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.functions.scoring import idf_plain, megabytes, per, six_decimals
+from quillmark.functions.scoring import megabytes, per
 from quillmark.functions.tokenizers import NOT_EMPTY, Keep
-from quillmark.operators.counts import term_frequency, term_statistics, word_count
 from quillmark.sources.readers import text_lines
 
 
@@ -29,10 +28,16 @@ def corpus_profile(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def token_profile(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> DataFrame:
-    """Documents, tokens, tokens per document and vocabulary size, from one pass."""
-    stats = term_statistics(term_frequency(docs, [], tokens, keep=keep, document_rows=True))
-    n_docs = F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("df"))), F.lit(0))
-    total_tokens = F.coalesce(F.sum("c"), F.lit(0))
+    """Documents, tokens, tokens per document and vocabulary size, from one pass.
+
+    Each document gives a null beside its tokens, so their number comes from the same counts.
+    """
+    no_tokens = F.array().cast("array<string>")
+    terms = F.array_append(F.coalesce(tokens, no_tokens), F.lit(None).cast("string"))
+    kept = F.col("term").isNull() | keep(F.col("term"))
+    stats = docs.select(F.explode(terms).alias("term")).where(kept).groupBy("term").agg(F.count("*").alias("c"))
+    n_docs = F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("c"))), F.lit(0))
+    total_tokens = F.coalesce(F.sum(F.when(F.col("term").isNotNull(), F.col("c"))), F.lit(0))
     return stats.agg(
         n_docs.alias("n_docs"),
         total_tokens.alias("total_tokens"),
@@ -41,43 +46,36 @@ def token_profile(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> Da
     )
 
 
-def stage_profile(docs: DataFrame, tokens: Column, text: str = "text") -> DataFrame:
-    """Records, bytes and bytes per record read by each step of the corpus TF-IDF job.
+def input_profile(inputs: dict[str, DataFrame], value: str = "value") -> DataFrame:
+    """``(stage, records, n_bytes, mb, bytes_per_record)`` of the text records that each step reads.
 
-    Each record is counted as the text line it is between two steps, with its line feed;
-    the first step reads the texts themselves.
+    ``inputs`` names the tables of lines, as a job's steps read them; each is scanned once. A
+    record's line feed counts as a byte.
     """
-    counts = word_count(docs, tokens)
-    n_docs = docs.agg(F.count("*")).scalar()
-    score = F.format_string("%.6f", six_decimals(F.col("tf") * idf_plain(n_docs, F.lit(1))))
-    word_bytes = F.octet_length("word").cast("bigint")
-    count_bytes = F.octet_length(F.col("tf").cast("string"))
-    words = counts.agg(
-        F.coalesce(F.sum("tf"), F.lit(0)).alias("tokens"),
-        F.coalesce(F.sum(F.col("tf") * (word_bytes + 3)), F.lit(0)).alias("token_bytes"),
-        F.count("*").alias("words"),
-        F.coalesce(F.sum(word_bytes + 3), F.lit(0)).alias("one_bytes"),
-        F.coalesce(F.sum(word_bytes + 2 + count_bytes), F.lit(0)).alias("count_bytes"),
-        F.coalesce(F.sum(word_bytes + 2 + F.octet_length(score)), F.lit(0)).alias("score_bytes"),
+    one = F.octet_length(value).cast("bigint") + 1
+    totals = [
+        lines.agg(F.count("*").alias("records"), F.coalesce(F.sum(one), F.lit(0)).alias("n_bytes")).select(
+            F.lit(name).alias("stage"), "records", "n_bytes"
+        )
+        for name, lines in inputs.items()
+    ]
+    rows = totals[0]
+    for more in totals[1:]:
+        rows = rows.unionByName(more)
+    return rows.withColumn("mb", megabytes(F.col("n_bytes"))).withColumn(
+        "bytes_per_record", per(F.col("n_bytes"), F.col("records"))
     )
-    corpus = corpus_profile(docs, text)
 
-    def rows(totals: DataFrame, steps: dict[str, tuple[str, str]]) -> DataFrame:
-        entries = [
-            F.struct(F.lit(step).alias("stage"), F.col(records).alias("records"), F.col(size).alias("n_bytes"))
-            for step, (records, size) in steps.items()
-        ]
-        return totals.select(F.inline(F.array(*entries)))
 
-    steps = rows(corpus, {"count_map": ("total_lines", "total_bytes")}).unionByName(
-        rows(words, {
-            "count_reduce": ("tokens", "token_bytes"),
-            "df_map": ("words", "count_bytes"),
-            "df_reduce": ("words", "one_bytes"),
-            "score_map": ("words", "count_bytes"),
-            "score_reduce": ("words", "score_bytes"),
-        })
-    )
-    return steps.withColumn("mb", megabytes(F.col("n_bytes"))).withColumn(
-        "bytes_per_record", per(F.col("n_bytes"), F.col("records"))
-    )
+def stage_rows(stages: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """``(stage, n_rows, n_docs)``: rows and distinct documents of the table that each step leaves."""
+    counted = [
+        table.groupBy(*keys).agg(F.count("*").alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_docs")
+        ).select(F.lit(name).alias("stage"), "n_rows", "n_docs")
+        for name, table in stages.items()
+    ]
+    rows = counted[0]
+    for more in counted[1:]:
+        rows = rows.unionByName(more)
+    return rows

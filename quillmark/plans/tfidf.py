@@ -1,10 +1,9 @@
 """TF-IDF at document, line and corpus scope.
 
-Document and line scope go through three steps. ``document_terms`` tokenizes each text once,
-counts its terms inside the row, and stages the counts: tokenizing is by far the dearest
-step, and the counts are needed twice. ``fit`` aggregates them into a vocabulary, the only
-step that always shuffles, and what it shuffles is one row per task and term. ``score``
-joins the two.
+Document and line scope go through two steps. ``fit`` aggregates terms into a vocabulary, the
+only step that always shuffles, and what it shuffles is one row per task and term. ``score``
+counts the terms inside each row and joins the two. Both steps tokenize; a caller for whom
+tokenizing is dearer than writing and reading the counts stages them with ``document_terms``.
 """
 
 from collections.abc import Callable
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.scoring import idf_plain, printed_integer, six_decimals
 from quillmark.functions.tokenizers import NOT_EMPTY, Keep
-from quillmark.operators.counts import lines_by_key, term_frequency, term_statistics
+from quillmark.operators.counts import document_term_statistics, lines_by_key, term_frequency, term_statistics
 from quillmark.operators.joins import BROADCAST_BYTES, join_on_key
 from quillmark.operators.prefix import running_prefix, top_k
 from quillmark.sources.staging import stage
@@ -95,10 +94,18 @@ def score(counts: DataFrame, keys: list[str], model: TermModel, formula: Idf,
 
 
 def document_tfidf(docs: DataFrame, keys: list[str], tokens: Column, formula: Idf, keep: Keep = NOT_EMPTY,
-                   min_df: int = 1, vocab_size: int | None = None, budget: int = BROADCAST_BYTES) -> DataFrame:
-    """All three steps over one corpus."""
-    counts = document_terms(docs, keys, tokens, keep)
-    return score(counts, keys, fit(term_statistics(counts), min_df, vocab_size), formula, budget)
+                   min_df: int = 1, vocab_size: int | None = None, budget: int = BROADCAST_BYTES,
+                   stage_counts: bool = False) -> DataFrame:
+    """Both steps over one corpus. ``stage_counts`` tokenizes once and keeps the counts in a staged table."""
+    if stage_counts:
+        counts = document_terms(docs, keys, tokens, keep)
+        return score(counts, keys, fit(term_statistics(counts), min_df, vocab_size), formula, budget)
+    if vocab_size is None:
+        statistics = document_term_statistics(docs, tokens, keep)
+    else:  # the vocabulary is ranked by corpus counts
+        statistics = term_statistics(term_frequency(docs, [], tokens, keep=keep, document_rows=True))
+    model = fit(statistics, min_df, vocab_size)
+    return score(term_frequency(docs, keys, tokens, keep=keep), keys, model, formula, budget)
 
 
 def corpus_tfidf_first_pass(counts: DataFrame, n_docs: Column) -> DataFrame:

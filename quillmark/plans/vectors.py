@@ -1,54 +1,51 @@
 """TF-IDF as sparse vectors with Spark ML, and vectors back to rows."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, RegexTokenizer, StopWordsRemover
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.functions.scoring import idf_ml
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
 from quillmark.functions.tokenizers import NON_WORD_ASCII
-from quillmark.operators.joins import BROADCAST_BYTES, join_on_key
 from quillmark.plans.tfidf import TermModel
 
-# Most bytes of vocabulary that a vector model may hold on the driver.
-MODEL_BYTES = 512 * 1024 * 1024
 
-
-def fit_vector_pipeline(docs: DataFrame, model: TermModel, text: str = "text", min_length: int = 2,
+def fit_vector_pipeline(spark: SparkSession, model: TermModel, text: str = "text", min_length: int = 2,
                         stop_words: list[str] = ENGLISH_STOP_WORDS) -> PipelineModel:
-    """Tokenizer, stop-word filter, count vectors and IDF as one pipeline model.
+    """Tokenizer, stop-word filter, count vectors and IDF weights as one pipeline model.
 
-    Spark ML fits a vocabulary by sending the top terms of every task to the driver. Here it
-    is fitted on the vocabulary of ``model``, one row per term, so the driver sees only the
-    limited list that the pipeline has to hold, after a check of its size. The index of a
-    term in the vectors says nothing about its count.
+    Spark ML fits a vocabulary and its IDF in two passes over the texts that end on the driver.
+    ``model`` has both from one aggregate, so no text is read here. A vector model is a list of
+    terms on the driver; the ``vocab_size`` that ``model`` was fitted with bounds it. Terms are
+    numbered from 0 by corpus count and then by term.
     """
-    if model.n_bytes > MODEL_BYTES:
-        raise ValueError(f"vocabulary of {model.n_bytes} bytes is too large for vectors; score rows instead")
+    weights = idf_ml(F.lit(model.n_docs), F.col("df")).alias("idf")
+    terms = model.ranked().select("term", "rank", weights).orderBy("rank").collect()
     tokenizer = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=NON_WORD_ASCII, minTokenLength=min_length)
     remover = StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=stop_words)
-    limit = max(model.vocabulary.count(), 1)
-    counter = CountVectorizer(inputCol="filtered", outputCol="tf", vocabSize=limit).fit(_one_term_rows(model))
-    counted = counter.transform(remover.transform(tokenizer.transform(docs.select(text))))
-    return PipelineModel([tokenizer, remover, counter, IDF(inputCol="tf", outputCol="tfidf").fit(counted)])
-
+    # An empty vocabulary is not allowed; no token is the empty string.
+    words = [row["term"] for row in terms] or [""]
+    counter = CountVectorizerModel.from_vocabulary(words, inputCol="filtered", outputCol="tf")
+    scale = Vectors.dense([row["idf"] for row in terms] or [0.0])
+    return PipelineModel([tokenizer, remover, counter, ElementwiseProduct(scalingVec=scale, inputCol="tf", outputCol="tfidf")])
 
-def _one_term_rows(model: TermModel) -> DataFrame:
-    return model.vocabulary.select("term", "df", F.array("term").alias("filtered"))
 
+def vector_parts(vectors: DataFrame, keys: list[str], vector: str = "tfidf") -> DataFrame:
+    """Sparse vectors as ``(keys, size, indices, values)``."""
+    parts = vectors.select(*keys, F.unwrap_udt(vector).alias("_v"))
+    return parts.select(*keys, F.col("_v.size").alias("size"), F.col("_v.indices").alias("indices"),
+                        F.col("_v.values").alias("values"))
 
-def term_index(pipeline: PipelineModel, model: TermModel) -> DataFrame:
-    """``(index, term, df)``: the counting stage applied to each term alone."""
-    single = pipeline.stages[2].transform(_one_term_rows(model))
-    return single.select(F.get(F.unwrap_udt("tf")["indices"], 0).alias("index"), "term", "df")
 
+def vector_rows(vectors: DataFrame, keys: list[str], pipeline: PipelineModel, vector: str = "tfidf") -> DataFrame:
+    """Non-zero entries as ``(keys, term, <vector>)``; the vector is never made dense.
 
-def vector_rows(vectors: DataFrame, keys: list[str], pipeline: PipelineModel, model: TermModel,
-                vector: str = "tfidf", budget: int = BROADCAST_BYTES) -> DataFrame:
-    """Non-zero entries as ``(keys, term, <vector>)``; the vector is never made dense."""
-    entries = vectors.select(*keys, F.unwrap_udt(vector).alias("_v")).select(
-        *keys, F.inline(F.arrays_zip(F.col("_v.indices").alias("index"), F.col("_v.values").alias(vector)))
+    The terms are the model's own list, which every task holds anyway to count them.
+    """
+    entries = vector_parts(vectors, keys, vector).select(
+        *keys, F.inline(F.arrays_zip(F.col("indices").alias("index"), F.col("values").alias(vector)))
     )
-    terms = term_index(pipeline, model)
-    joined = join_on_key(entries, terms, "index", frequency="df", size=model.n_bytes, budget=budget)
-    return joined.select(*keys, "term", vector)
+    terms = vectors.sparkSession.createDataFrame(enumerate(pipeline.stages[2].vocabulary), "index int, term string")
+    return entries.join(F.broadcast(terms), "index").select(*keys, "term", vector)

@@ -1,9 +1,11 @@
 """Landed catalog pages: JSON text with a ``results`` list of books."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import DEFAULT_TITLE, pick_text_url, safe_file_name
+from quillmark.functions.text import DEFAULT_TITLE, plain_text_url, safe_file_name
 from quillmark.sources.staging import stage
 
 
@@ -18,6 +20,7 @@ def _book(book: Column) -> Column:
         F.coalesce(F.try_variant_get(book, "$.id", "bigint"), F.lit(0)).alias("id"),
         F.coalesce(F.try_variant_get(book, "$.title", "string"), F.lit(DEFAULT_TITLE)).alias("title"),
         F.transform_values(formats, lambda kind, url: F.try_variant_get(url, "$", "string")).alias("formats"),
+        F.try_variant_get(book, "$.languages", "array<string>").alias("languages"),
     )
 
 
@@ -35,7 +38,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def read_catalog(pages: DataFrame) -> DataFrame:
-    """Books of the pages as ``(page_no, position, id, title, formats)``.
+    """Books of the pages as ``(page_no, position, id, title, formats, languages)``.
 
     Pages that are not JSON are skipped. The first other page without a filled ``results``
     list ends the catalog: later pages are not used. Books without ``formats`` are dropped.
@@ -49,12 +52,17 @@ def read_catalog(pages: DataFrame) -> DataFrame:
     return books.select("page_no", "position", "book.*").where("formats is not null")
 
 
-def text_books(books: DataFrame) -> DataFrame:
-    """Books with a plain-text URL: ``(page_no, position, id, url, file_name)``."""
+def text_books(books: DataFrame, languages: Sequence[str] = ()) -> DataFrame:
+    """Books with a plain-text URL: ``(page_no, position, id, url, file_name)``.
+
+    With ``languages``, only books in one of them; a book that names no language is in none.
+    """
+    if languages:
+        books = books.where(F.arrays_overlap("languages", F.array(*[F.lit(x) for x in languages])))
     return books.select(
         "page_no",
         "position",
         "id",
-        pick_text_url(F.col("formats")).alias("url"),
+        plain_text_url(F.col("formats")).alias("url"),
         safe_file_name(F.col("id"), F.col("title")).alias("file_name"),
     ).where("url is not null")

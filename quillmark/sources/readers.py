@@ -5,19 +5,12 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, partitions: int = 0) -> DataFrame:
-    """Give every core work before the expensive tokenizing starts; ``df`` is a plain scan.
+    """Deal the rows out over ``partitions`` tasks if the caller asks for a number of them.
 
-    A count given by the caller is used as it is. Otherwise rows are dealt out only if the
-    scan has at most two splits per core: such inputs are small (under two full splits for
-    each core), and a file with one row group would keep all but one core idle. A large
-    scan is left alone, so its text is never shuffled.
+    Only a caller knows that an input is small: a file with one row group keeps all but one
+    core idle. Without a number the scan is left alone, and its text is not shuffled.
     """
-    if partitions > 0:
-        return df.repartition(partitions)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > 2 * cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(partitions) if partitions > 0 else df
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str], partitions: int = 0) -> DataFrame:

@@ -1,39 +1,62 @@
 """Tables written between two jobs.
 
 A staged table cuts lineage: a lost executor costs the tasks that read it, never the shuffle
-that made it. It lives in the shared folder that the cluster names, below a folder of the
-application, until ``drop_staged`` is called.
+that made it. The caller names the shared folder; each job has a folder of its own below it,
+and what it staged goes when the job ends.
 """
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_job: ContextVar[str | None] = ContextVar("job", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    named = spark.conf.get(_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    """The shared folder: ``spark.checkpoint.dir``, or the context's checkpoint folder."""
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="quillmark-"))
-    return context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def _application_folder(spark: SparkSession) -> str:
     return f"{staging_root(spark)}/quillmark-{spark.sparkContext.applicationId}"
 
 
+def _staged_folder(spark: SparkSession) -> str:
+    return f"{_application_folder(spark)}/staged"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside the block goes at its end, so results have to be written or read inside."""
+    folder = f"{_staged_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _job.set(folder)
+    try:
+        yield folder
+    finally:
+        _job.reset(token)
+        _delete(spark, folder)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the staging folder."""
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path for a table that the job stages."""
+    return f"{_job.get() or _staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def output_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path for what a sink or a stream writes; it outlasts the job."""
+    return f"{_application_folder(spark)}/written/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -44,6 +67,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete what this application staged. Call it once the results are written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete what this application staged outside of jobs, and nothing that it wrote otherwise."""
+    _delete(spark, _staged_folder(spark))

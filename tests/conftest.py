@@ -23,6 +23,7 @@ def spark():
         .config("spark.log.level", "ERROR")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.quillmark.partitions", "8")
         .getOrCreate()
     )
     yield session

@@ -146,6 +146,18 @@ def test_catalog_ends_without_a_list(spark, body):
     assert rows(catalog.read_catalog(df), "page_no") == [(1,)]
 
 
+def test_catalog_languages(spark):
+    plain = '"formats": {"text/plain": "u"}'
+    body = '{"results": [%s]}' % ", ".join([
+        '{"id": 1, "languages": ["en"], %s}' % plain, '{"id": 2, "languages": ["fr", "de"], %s}' % plain,
+        '{"id": 3, %s}' % plain, '{"id": 4, "languages": [], %s}' % plain, '{"id": 5, "languages": "en", %s}' % plain,
+        '{"id": 6, "languages": ["en", null], %s}' % plain,
+    ])
+    books = catalog.read_catalog(spark.createDataFrame([(1, body)], "page_no long, body string"))
+    assert rows(catalog.text_books(books, ["en", "de"]), "id") == [(1,), (2,), (6,)]
+    assert rows(catalog.text_books(books), "id") == [(1,), (2,), (3,), (4,), (5,), (6,)]
+
+
 def test_key_value_records(spark):
     lines = ["no tab", "w\tx", "w\t2", "w\t1.62", "w\t-0.4", "\t5", "a\tb\t3", "w\t +7 z", ""]
     df = spark.createDataFrame([(v,) for v in lines], "value string")
@@ -185,12 +197,26 @@ def test_staging_folder(spark, monkeypatch):
     staged = staging.stage(spark.range(5), "five")
     assert staged.count() == 5
     monkeypatch.setattr(staging, "_SETTING", "spark.checkpoint.not.set")
-    assert staging.staging_root(spark)  # a temporary folder, since the master is local
-    staging.staging_path(spark, "y")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(RuntimeError):
+        staging.staging_root(spark)
     monkeypatch.undo()
+    written = staging.output_path(spark, "kept")
+    writers.write_table(spark.range(3), written)
     staging.drop_staged(spark)
     with pytest.raises(Exception):
         spark.read.parquet(staged.inputFiles()[0]).count()
+    assert spark.read.parquet(written).count() == 3
+
+
+def test_a_job_takes_its_staged_tables_with_it(spark):
+    outside = staging.stage(spark.range(2), "outside")
+    with staging.job(spark):
+        inside = staging.stage(spark.range(5), "inside")
+        assert inside.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(inside.inputFiles()[0]).count()
+    assert outside.count() == 2
 
 
 def test_file_scans(spark, tmp_path):

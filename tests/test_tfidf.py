@@ -91,11 +91,16 @@ def test_line_scores_rows_and_vectors(corpus):
     got = tfidf.document_tfidf(lines, key, line(), scoring.idf_ml, LINE_KEEP, min_df=2, vocab_size=500_000)
     assert scored(got, *key, "term") == want
     model = line_model(lines, min_df=2)
-    pipeline = vectors.fit_vector_pipeline(lines, model, "line")
+    staged = tfidf.document_tfidf(lines, key, line(), scoring.idf_ml, LINE_KEEP, min_df=2, stage_counts=True)
+    assert scored(staged, *key, "term") == want
+    model = line_model(lines, min_df=2)
+    pipeline = vectors.fit_vector_pipeline(corpus.sparkSession, model, "line")
     scores = pipeline.transform(lines).select(*key, "tfidf")
-    assert scored(vectors.vector_rows(scores, key, pipeline, model), *key, "term") == want
-    beyond = vectors.vector_rows(scores, key, pipeline, model, budget=1)
-    assert scored(beyond, *key, "term") == want
+    assert scored(vectors.vector_rows(scores, key, pipeline), *key, "term") == want
+    parts = vectors.vector_parts(scores, key).where("size(indices) > 0")
+    assert [r[:3] for r in rows(parts, *key, "size")] == [(1, 0, 1), (3, 0, 1)]
+    nothing = vectors.fit_vector_pipeline(corpus.sparkSession, line_model(lines, min_df=9), "line")
+    assert vectors.vector_rows(nothing.transform(lines).select(*key, "tfidf"), key, nothing).isEmpty()
 
 
 def test_blank_lines_and_empty_documents_are_documents(spark, corpus):
@@ -107,6 +112,32 @@ def test_blank_lines_and_empty_documents_are_documents(spark, corpus):
     assert tfidf.fit(counts.document_term_statistics(corpus.union(blank), ws())).n_docs == 5
 
 
+def test_null_texts_are_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    assert tfidf.fit(counts.document_term_statistics(docs, ws())).n_docs == 3
+    by_row = counts.term_frequency(docs, ["doc_id"], ws(), document_rows=True)
+    assert rows(by_row.where("term is null"), "doc_id", "tf") == [(1, 0), (2, 0), (3, 0)]
+    from quillmark.operators import profile
+
+    assert profile.token_profile(docs, ws()).first()[:] == (3, 2, 2 / 3, 2)
+
+
+def test_documents_in_several_rows(spark):
+    docs = spark.createDataFrame([(1, "the cat"), (1, "the"), (2, "cat"), (2, None)], "doc_id long, text string")
+    counted = counts.term_frequency(docs, ["doc_id"], ws(), chunked=True)
+    assert rows(counted, "doc_id", "term", "tf") == [(1, "cat", 1), (1, "the", 2), (2, "cat", 1)]
+    whole = counts.term_frequency(docs, ["doc_id"], ws(), document_rows=True, chunked=True)
+    assert rows(whole.where("term is null"), "doc_id", "tf") == [(1, 0), (2, 0)]
+    assert rows(counts.document_frequency(docs, ws(), chunks_of=["doc_id"]), "term", "df") == [("cat", 2), ("the", 1)]
+
+
+def test_null_keys_stay_out_of_the_shuffle(spark):
+    data = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)] * 50, "key string, id int")
+    table = spark.createDataFrame([("a", 5)], "key string, value long")
+    split = joins.join_on_key(data, table, "key", "left", budget=1)
+    assert rows(split.fillna(-1).fillna("-"), "key", "id", "value") == sorted([("-", 1, -1), ("a", 2, 5), ("b", 3, -1)] * 50)
+
+
 def test_no_documents_is_an_error(corpus):
     with pytest.raises(ValueError):
         tfidf.fit(counts.document_term_statistics(corpus.where("false"), ws()))
