@@ -21,6 +21,7 @@ def running_prefix(rows: DataFrame, order: list[str | Column], weight: Column, t
     running total inside a slice is a window of its own. The cut is staged because every
     later step must see the same slices.
     """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = stage(
         rows.withColumn("_weight", weight.cast("bigint"))
         .repartitionByRange(*order)
@@ -34,9 +35,9 @@ def running_prefix(rows: DataFrame, order: list[str | Column], weight: Column, t
     if target > 0:
         starts = starts.where(F.col("_start") < target)
     inside = W.partitionBy("_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = cut.join(F.broadcast(starts), "_slice").withColumn(
-        total, F.col("_start") + F.sum("_weight").over(inside)
-    )
+    # A slice goes to the partition of its number: no two share a task, and the window needs no other shuffle.
+    by_slice = cut.join(F.broadcast(starts), "_slice").repartitionById(n, "_slice")
+    totals = by_slice.withColumn(total, F.col("_start") + F.sum("_weight").over(inside))
     if target > 0:
         totals = totals.where(F.col(total) - F.col("_weight") < target)
     return totals.drop("_slice", "_start", "_weight")
