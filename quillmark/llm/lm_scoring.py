@@ -28,19 +28,20 @@ LEAST_COUNT = 2
 BACKOFF = 0.4
 # Scores are summed as integers of this resolution, so that reruns agree to the last bit.
 UNIT = float(1 << 20)
-_SPAN = 1 << 21
+# Bytes of text whose words or pairs a task counts at a time.
+SPAN_BYTES = 1 << 22
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)``: occurrences of each word, by its hash, in all texts."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, bounds = text_bytes(batch.column("text"))
-        hashes = [word_hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])[0] for a, b in groups(bounds)]
-        words, n = np.unique(np.concatenate(hashes), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, hashes, _ in _hashed(batch):
+                words, n = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    counted = map_batches(id_and_text(docs).select("text"), count, "word bigint, n bigint")
+    counted = id_and_text(docs).select("text").mapInArrow(count, "word bigint, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -69,11 +70,19 @@ def fit_vocabulary(docs: DataFrame, size: int = VOCABULARY_WORDS) -> Vocabulary:
     return Vocabulary(words, np.array([r["n"] for r in top], np.int64), total)
 
 
-def _numbered(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, word numbers, words in each text)`` of groups of texts."""
+def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(first row, word hashes, words in each text)`` of groups of texts."""
     data, bounds = text_bytes(batch.column("text"))
-    for first, last in groups(bounds, _SPAN):
-        hashes, counts = word_hashes(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
+    for first, last in groups(bounds, SPAN_BYTES):
+        span = bounds[first : last + 1]
+        # Hashing takes some fifty bytes for each byte of text, so it goes piece by piece.
+        parts = [word_hashes(data[span[a] : span[b]], span[a : b + 1] - span[a]) for a, b in groups(span)]
+        yield first, np.concatenate([hashes for hashes, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+
+def _numbered(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The same with word numbers."""
+    for first, hashes, counts in _hashed(batch):
         yield first, vocabulary.number(hashes), counts
 
 
@@ -87,12 +96,13 @@ def _pairs(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 def pair_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``(pair, n)``: occurrences of each pair of neighbours in all texts."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [_pairs(numbers, counts)[1] for _, numbers, counts in _numbered(batch, vocabulary)]
-        pairs, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, numbers, counts in _numbered(batch, vocabulary):
+                pairs, n = np.unique(_pairs(numbers, counts)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
-    counted = map_batches(id_and_text(docs).select("text"), count, "pair bigint, n bigint")
+    counted = id_and_text(docs).select("text").mapInArrow(count, "pair bigint, n bigint")
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
