@@ -6,8 +6,9 @@ the frequency of its second word, times a constant. Written as a sum over the di
 of a document, a pair adds a bonus to what the words alone score, and the bonus depends only
 on the pair: so the documents' pairs are joined to one table, partitioned by pair, and summed.
 
-The vocabulary is limited, as is usual for such models: the most frequent words have
-numbers, all others are one unknown word. Its size is a bound for what is broadcast.
+Every word has its own count, however rare, and words and pairs are known by the 64-bit hashes
+of their words. The tasks hold the values of the most frequent words and pairs; these need no
+join, so no key of the joins is hot. How many are held changes no score.
 """
 
 from collections.abc import Iterator
@@ -18,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.arrow_text import groups, id_and_text, map_batches, text_bytes
-from quillmark.llm.minhash import word_hashes
+from quillmark.llm.minhash import mix, word_hashes
 from quillmark.sources.staging import stage
 
-# Words that have a number of their own; 0 is the unknown word.
-VOCABULARY_WORDS = (1 << 16) - 1
+# Words and pairs whose values every task holds.
+HELD_WORDS, HELD_PAIRS = 1 << 16, 1 << 18
 # A pair that occurs less often is as good as unseen: its document itself is one occurrence.
 LEAST_COUNT = 2
 BACKOFF = 0.4
@@ -32,12 +33,12 @@ UNIT = float(1 << 20)
 SPAN_BYTES = 1 << 22
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(docs: DataFrame, known: np.ndarray | None = None) -> DataFrame:
     """``(word, n)``: occurrences of each word, by its hash, in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, hashes, _ in _hashed(batch):
+            for _, hashes, _ in _hashed(batch, known):
                 words, n = np.unique(hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
@@ -45,135 +46,205 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Vocabulary:
-    """Numbers and counts of the most frequent words; number 0 stands for all others."""
+def limited_words(docs: DataFrame, size: int) -> np.ndarray:
+    """The hashes of the ``size`` most frequent words of the corpus (of equal ones the lesser hash), in order."""
+    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(size).collect()
+    return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
-        order = np.argsort(words)
-        self.words, self.numbers = words[order], (order + 1).astype(np.int64)
-        self.counts = np.concatenate([[total - counts.sum()], counts]).astype(np.int64)
-        self.total = total
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.numbers[at], 0)
+class Held:
+    """Values of frequent words or pairs, by one or two hashes each, for tasks to hold."""
 
+    def __init__(self, keys: list[np.ndarray], values: np.ndarray):
+        joint, at = np.unique(self._joint(keys), return_index=True)
+        self.joint, self.keys, self.values = joint, [k[at] for k in keys], values[at]
 
-def fit_vocabulary(docs: DataFrame, size: int = VOCABULARY_WORDS) -> Vocabulary:
-    """The ``size`` most frequent words of the corpus (of equal ones the lesser hash) and the number of all words."""
-    counts = stage(word_counts(docs), "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.col("n").desc(), "word").limit(size).collect()
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    return Vocabulary(words, np.array([r["n"] for r in top], np.int64), total)
+    @staticmethod
+    def _joint(keys: list[np.ndarray]) -> np.ndarray:
+        return keys[0] if len(keys) == 1 else mix(keys[0] * np.uint64(0x9FB21C651E98DF25) + keys[1])
 
+    def find(self, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each key, 0 for those that are not held, and which are."""
+        if not len(self.joint):
+            return np.zeros(len(keys[0]), np.int64), np.zeros(len(keys[0]), bool)
+        at = np.minimum(np.searchsorted(self.joint, self._joint(list(keys))), len(self.joint) - 1)
+        held = np.logical_and.reduce([own[at] == asked for own, asked in zip(self.keys, keys)])
+        return np.where(held, self.values[at], 0), held
 
-def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, word hashes, words in each text)`` of groups of texts."""
+
+def hold(table: DataFrame, keys: list[str], value: str, most: int) -> Held:
+    """The values of the keys with the greatest ``n``: as many whole levels of ``n`` as ``most`` has room for."""
+    level = F.floor(F.log2("n") * 16)
+    room, least = most, None
+    for r in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if r["count"] > room:
+            break
+        room, least = room - r["count"], r["level"]
+    rows = table.where(F.lit(False) if least is None else level >= least).select(*keys, value).toArrow()
+    return Held([rows[k].to_numpy().view(np.uint64) for k in keys], rows[value].to_numpy())
+
+
+def _hashed(batch: pa.RecordBatch, known: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(first row, word hashes, words in each text)`` of groups of texts; words that are not ``known``, if given, are 0."""
     data, bounds = text_bytes(batch.column("text"))
     for first, last in groups(bounds, SPAN_BYTES):
         span = bounds[first : last + 1]
         # Hashing takes some fifty bytes for each byte of text, so it goes piece by piece.
         parts = [word_hashes(data[span[a] : span[b]], span[a : b + 1] - span[a]) for a, b in groups(span)]
-        yield first, np.concatenate([hashes for hashes, _ in parts]), np.concatenate([counts for _, counts in parts])
+        hashes = np.concatenate([hashes for hashes, _ in parts])
+        if known is not None:
+            hashes = np.where(np.isin(hashes, known), hashes, np.uint64(0))
+        yield first, hashes, np.concatenate([counts for _, counts in parts])
 
 
-def _numbered(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The same with word numbers."""
-    for first, hashes, counts in _hashed(batch):
-        yield first, vocabulary.number(hashes), counts
-
-
-def _pairs(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(text number, pair)`` of all neighbours within a text."""
+def _pairs(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text number, first word, second word)`` of all neighbours within a text."""
     text = np.repeat(np.arange(len(counts)), counts)
     inside = text[1:] == text[:-1]
-    return text[1:][inside], (numbers[:-1][inside] << 16) | numbers[1:][inside]
+    return text[1:][inside], hashes[:-1][inside], hashes[1:][inside]
+
 
+def _counted(text: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows by text, and the number of each; a rare clash of hashes may leave a row in several parts."""
+    order = np.lexsort((Held._joint([first, second]), text))
+    columns = [text[order], first[order], second[order]]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    at = np.flatnonzero(fresh)
+    return [*(c[at] for c in columns), np.diff(np.append(at, len(order)))]
 
-def pair_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``(pair, n)``: occurrences of each pair of neighbours in all texts."""
+
+def pair_counts(docs: DataFrame, known: np.ndarray | None = None) -> DataFrame:
+    """``(first, second, n)``: occurrences of each pair of neighbours, by their hashes, in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, numbers, counts in _numbered(batch, vocabulary):
-                pairs, n = np.unique(_pairs(numbers, counts)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+            for _, hashes, counts in _hashed(batch, known):
+                text, first, second = _pairs(hashes, counts)
+                _, first, second, n = _counted(np.zeros_like(text), first, second)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(n)], ["first", "second", "n"])
 
-    counted = id_and_text(docs).select("text").mapInArrow(count, "pair bigint, n bigint")
-    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
+    counted = id_and_text(docs).select("text").mapInArrow(count, "first bigint, second bigint, n bigint")
+    return counted.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
-def pair_bonuses(counts: DataFrame, vocabulary: Vocabulary, least: int = LEAST_COUNT,
-                 backoff: float = BACKOFF) -> DataFrame:
-    """``(pair, bonus)`` of the pairs that are frequent enough: what one adds beyond its words, in ``UNIT``."""
-    logs = np.log(np.maximum(vocabulary.counts, 1))
-    constant = float(np.log(max(vocabulary.total, 1)) - np.log(backoff))
+def open_bonuses(counts: DataFrame, held: Held, total: int, least: int = LEAST_COUNT, backoff: float = BACKOFF) -> DataFrame:
+    """``(first, second, n, bonus, open_first, open_second)`` of the pairs that are frequent enough.
+
+    ``bonus`` is what a pair adds beyond its words, in ``UNIT``; from it the units of the words
+    that are not held, the open ones, are still to be taken.
+    """
+    constant = float(np.log(max(total, 1)) - np.log(backoff))
 
     def value(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pair, n = batch.column("pair").to_numpy(), batch.column("n").to_numpy()
-        bonus = np.log(n) - logs[pair >> 16] - logs[pair & 0xFFFF] + constant
-        return pa.RecordBatch.from_arrays([batch.column("pair"), pa.array(np.rint(bonus * UNIT).astype(np.int64))],
-                                          ["pair", "bonus"])
+        bonus = np.rint((np.log(batch.column("n").to_numpy()) + constant) * UNIT).astype(np.int64)
+        missing = []
+        for side in ("first", "second"):
+            units, is_held = held.find(batch.column(side).to_numpy().view(np.uint64))
+            bonus -= units
+            missing.append(pa.array(~is_held))
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(bonus), *missing],
+                                          ["first", "second", "n", "bonus", "open_first", "open_second"])
+
+    return map_batches(counts.where(F.col("n") >= least), value,
+                       "first bigint, second bigint, n bigint, bonus bigint, open_first boolean, open_second boolean")
 
-    return map_batches(counts.where(F.col("n") >= least), value, "pair bigint, bonus bigint")
 
+def pair_bonuses(opened: DataFrame, words: DataFrame) -> DataFrame:
+    """``(first, second, bonus)`` with the units of all words taken."""
+    for side in ("first", "second"):
+        rest = opened.where(f"open_{side}").join(words.select(F.col("word").alias(side), "units"), side)
+        rest = rest.withColumn("bonus", F.col("bonus") - F.col("units")).select(*opened.columns)
+        opened = opened.where(f"not open_{side}").unionByName(rest)
+    return opened.select("first", "second", "bonus")
 
-def document_pairs(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``(doc_id, pair, n)``: the distinct pairs of each document, with their number in it."""
+
+def rare_words(docs: DataFrame, held: Held, known: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, word, n)``: the distinct words of each document that are not held, with their number in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for start, hashes, counts in _hashed(batch, known):
+                rare = ~held.find(hashes)[1]
+                text, word = np.repeat(np.arange(len(counts)), counts)[rare], hashes[rare]
+                text, word, _, n = _counted(text, word, np.zeros_like(word))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(text + start)), pa.array(word.view(np.int64)), pa.array(n.astype(np.int32))],
+                    ["doc_id", "word", "n"])
+
+    return id_and_text(docs).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, word bigint, n int")
+
+
+def rare_pairs(docs: DataFrame, held: Held, known: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, first, second, n)``: the distinct pairs of each document that are not held, with their number in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            for first, numbers, counts in _numbered(batch, vocabulary):
-                text, pair = _pairs(numbers, counts)
-                both, n = np.unique((text << 32) | pair, return_counts=True)
+            for start, hashes, counts in _hashed(batch, known):
+                text, first, second, n = _counted(*_pairs(hashes, counts))
+                rare = ~held.find(first, second)[1]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array((both >> 32) + first)), pa.array(both & 0xFFFFFFFF), pa.array(n.astype(np.int32))],
-                    ["doc_id", "pair", "n"])
+                    [ids.take(pa.array(text[rare] + start)), pa.array(first[rare].view(np.int64)),
+                     pa.array(second[rare].view(np.int64)), pa.array(n[rare].astype(np.int32))],
+                    ["doc_id", "first", "second", "n"])
 
-    return id_and_text(docs).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, pair bigint, n int")
+    return id_and_text(docs).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, first bigint, second bigint, n int")
 
 
-def word_scores(docs: DataFrame, vocabulary: Vocabulary, backoff: float = BACKOFF) -> DataFrame:
-    """``(doc_id, n_words, score)``: what each document would score if all its pairs backed off, in ``UNIT``."""
-    logs = np.log(np.maximum(vocabulary.counts, 1)) - np.log(max(vocabulary.total, 1))
-    units = np.rint((logs + np.log(backoff)) * UNIT).astype(np.int64)
+def held_scores(docs: DataFrame, words: Held, pairs: Held, total: int, known: np.ndarray | None = None,
+                backoff: float = BACKOFF) -> DataFrame:
+    """``(doc_id, n_words, score)``: what each document scores by the words and pairs that are held, in ``UNIT``."""
+    each_word = int(np.rint((np.log(backoff) - np.log(max(total, 1))) * UNIT))
     first_word = int(np.rint(np.log(backoff) * UNIT))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, scores = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-        for first, numbers, counts in _numbered(batch, vocabulary):
-            sums = np.concatenate([[0], np.cumsum(units[numbers])])
+        for start, hashes, counts in _hashed(batch, known):
+            sums = np.concatenate([[0], np.cumsum(words.find(hashes)[0])])
             ends = np.concatenate([[0], np.cumsum(counts)])
-            part = slice(first, first + len(counts))
+            text, first, second = _pairs(hashes, counts)
+            gains = np.concatenate([[0], np.cumsum(pairs.find(first, second)[0])])
+            bounds = np.searchsorted(text, np.arange(len(counts) + 1))
+            part = slice(start, start + len(counts))
             n_words[part] = counts
             # The first word has no pair, so nothing is backed off from.
-            scores[part] = sums[ends[1:]] - sums[ends[:-1]] - first_word * (counts > 0)
+            scores[part] = (sums[ends[1:]] - sums[ends[:-1]] + gains[bounds[1:]] - gains[bounds[:-1]]
+                            + each_word * counts - first_word * (counts > 0))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words), pa.array(scores)],
                                           ["doc_id", "n_words", "score"])
 
     return map_batches(id_and_text(docs), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, score bigint")
 
 
-def score_documents(docs: DataFrame, vocabulary_words: int = VOCABULARY_WORDS, least: int = LEAST_COUNT,
-                    backoff: float = BACKOFF) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary_words: int | None = None, least: int = LEAST_COUNT,
+                    backoff: float = BACKOFF, held_words: int = HELD_WORDS, held_pairs: int = HELD_PAIRS) -> DataFrame:
     """``(doc_id, n_words, score, mean_score)``, one row for each ``doc_id``.
 
     ``score`` is the sum of the natural logarithms of the stupid-backoff scores of all words of
     the document, given the word before; ``mean_score`` divides it by the words. Without words
     both are 0. Null texts have no words; rows with one id are one document, and rows with a
     null id are one. Words are what blanks separate, with A to Z folded; texts are read whole.
+    A caller that gives ``vocabulary_words`` makes all but so many words one unknown word.
     """
-    vocabulary = fit_vocabulary(docs, vocabulary_words)
-    bonuses = stage(pair_bonuses(pair_counts(docs, vocabulary), vocabulary, least, backoff), "pair-bonuses")
-    gained = document_pairs(docs, vocabulary).join(bonuses, "pair").select(
-        "doc_id", F.lit(0).cast("bigint").alias("n_words"), (F.col("n") * F.col("bonus")).alias("score")
+    known = None if vocabulary_words is None else limited_words(docs, vocabulary_words)
+    units = F.rint(F.log("n") * UNIT).cast("bigint")
+    words = stage(word_counts(docs, known).withColumn("units", units), "word-counts")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    own_words = hold(words, ["word"], "units", held_words)
+    opened = stage(open_bonuses(pair_counts(docs, known), own_words, total, least, backoff), "pair-bonuses")
+    own_pairs = hold(opened.where("not open_first and not open_second"), ["first", "second"], "bonus", held_pairs)
+    none = F.lit(0).cast("bigint").alias("n_words")
+    alone = rare_words(docs, own_words, known).join(words.select("word", "units"), "word").select(
+        "doc_id", none, (F.col("n") * F.col("units")).alias("score")
+    )
+    gained = rare_pairs(docs, own_pairs, known).join(pair_bonuses(opened, words), ["first", "second"]).select(
+        "doc_id", none, (F.col("n") * F.col("bonus")).alias("score")
     )
-    alone = word_scores(docs, vocabulary, backoff)
-    sums = alone.unionByName(gained).groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("score").alias("units"))
+    scores = held_scores(docs, own_words, own_pairs, total, known, backoff).unionByName(alone).unionByName(gained)
+    sums = scores.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("score").alias("units"))
     score = F.round(F.col("units") / UNIT, 6) + F.lit(0.0)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("units") / UNIT / F.col("n_words"), 6) + F.lit(0.0)).otherwise(0.0)
     return sums.select("doc_id", "n_words", score.alias("score"), mean.alias("mean_score"))

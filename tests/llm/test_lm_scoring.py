@@ -73,3 +73,22 @@ def test_a_long_text_counts_whole(spark):
     assert row["n_words"] == 400_000
     assert row["score"] == pytest.approx(brute([(1, text)], 10)[1][1], abs=1.0)
     assert lm_scoring.LEAST_COUNT == 2
+
+
+def test_no_word_is_too_rare_to_count(spark):
+    many = [f"v{i}" for i in range(70_000)]
+    docs = [(1, " ".join(many)), (2, "rare1 rare2 v7 v8 rare1 rare2"), (3, "once never seen"), (4, " ".join(many[:40_000] * 2))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    wanted = brute(docs, 10**9)
+    for more in ({}, {"held_words": 2, "held_pairs": 1}):
+        for r in score_documents(frame, **more).collect():
+            n, score = wanted[r["doc_id"]]
+            assert r["n_words"] == n
+            assert r["score"] == pytest.approx(score, abs=1e-5 * (n + 1))
+
+
+@pytest.mark.parametrize("held", [(0, 0), (3, 2), (20, 500)])
+def test_what_is_held_changes_no_score(spark, held):
+    frame = spark.createDataFrame(corpus(40, 3), "doc_id long, text string").repartition(3)
+    own = score_documents(frame, held_words=held[0], held_pairs=held[1]).collect()
+    assert sorted(own) == sorted(score_documents(frame).collect())
