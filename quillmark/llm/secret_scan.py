@@ -4,7 +4,9 @@ The fixed formats give the base spans. Beyond them, tokens that stand behind a s
 are candidates. A candidate's novelty is the number of bytes by which it lengthens the
 compressed text around it, for a compressor that already holds that text and a dictionary of
 usual identifiers. Names, placeholders and values that the code repeats cost few bytes; a
-random key costs nearly its own length and is reported.
+random key costs nearly its own length and is reported. A long key of few symbols costs less,
+because its symbols get short codes; so what it costs is also held against random strings of
+the same symbols.
 """
 
 import hashlib
@@ -28,6 +30,8 @@ SENSITIVE = ("key", "secret", "token", "passw", "pwd", "auth", "credential", "pr
 CANDIDATE_BYTES, REACH, CONTEXT = 16, 64, 512
 # Marginal compressed bytes for each byte of a candidate from which on it is new.
 LEAST_NOVELTY = 0.85
+# Shuffled copies of a candidate of which the cheapest is the measure, and bits per symbol from which on it is one.
+COPIES, LEAST_ENTROPY = 5, 2.5
 # What code calls things, and what stands where a secret would be.
 IDENTIFIERS = (
     "access account admin apikey application auth authorization backend base64 bearer build bucket changeme client "
@@ -67,8 +71,19 @@ def hex_runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(bounds, starts, "right") - 1, starts, ends
 
 
+def _entropy(token: bytes) -> float:
+    """Bits per symbol of a token."""
+    share = np.bincount(np.frombuffer(token, np.uint8)) / len(token)
+    share = share[share > 0]
+    return float(-(share * np.log2(share)).sum())
+
+
 class Novelty:
-    """Marginal compressed size of a candidate, given the text around it."""
+    """Marginal compressed size of a candidate, given the text around it.
+
+    It is a share of the candidate's length, or, if that is more, of the size of the cheapest of
+    some shuffled copies, which no order of the symbols makes cheap.
+    """
 
     def __init__(self, identifiers: str = IDENTIFIERS):
         self.identifiers = identifiers.encode()
@@ -82,8 +97,15 @@ class Novelty:
             level=9, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
         )
         lead = before[-32:]
-        more = len(compressor.compress(lead + text[start:end])) - len(compressor.compress(lead))
-        return more / (end - start)
+        token, alone = text[start:end], len(compressor.compress(lead))
+        more = len(compressor.compress(lead + token)) - alone
+        usual = len(token)
+        # Copies of a token of one or two symbols are like the token itself.
+        if more < LEAST_NOVELTY * usual and _entropy(token) >= LEAST_ENTROPY:
+            rng = np.random.default_rng(int.from_bytes(hashlib.sha256(token).digest()[:8]))
+            copies = (rng.permutation(np.frombuffer(token, np.uint8)).tobytes() for _ in range(COPIES))
+            usual = min(usual, *(len(compressor.compress(lead + copy)) - alone for copy in copies))
+        return more / max(usual, 1)
 
 
 def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novelty) -> list[tuple[int, int]]:

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,3 +82,29 @@ def test_redaction(awkward, nothing, documents):
     assert rows[3]["text"] is None
     assert redact(awkward).exceptAll(awkward).isEmpty() and redact(awkward).count() == 10
     assert redact(nothing).count() == 0 and scan(nothing).count() == 0 and scan(awkward).count() == 10
+
+
+def novel(text):
+    """The spans that novelty adds to a text, as strings."""
+    import pyarrow as pa
+
+    data, bounds = text_bytes(pa.array([text], pa.string()))
+    return [text[a:b] for a, k, b in find_spans(data, bounds, Novelty())[0] if k == 3]
+
+
+ALPHABETS = ["0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
+             string.ascii_letters + string.digits + "+/"]
+
+
+def test_random_keys_of_any_length_and_alphabet_are_found():
+    rng = random.Random(11)
+    for symbols in ALPHABETS:
+        for n in (24, 32, 64, 80, 100, 128, 160, 400, 500, 1000, 2000):
+            for _ in range(5):
+                key = "".join(rng.choices(symbols, k=n - 4)) + "A7B2"
+                assert novel(f"Authorization: Bearer {key} end") == [key], (symbols, n)
+
+
+def test_long_strings_of_few_symbols_are_no_keys():
+    for line in ("-" * 80, "+-------1-------2-------+" * 4, "A1b2" * 40, "0" * 70 + "1a2b"):
+        assert novel(f"the token {line} end") == []
