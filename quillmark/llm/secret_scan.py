@@ -2,9 +2,9 @@
 
 The fixed formats give the base spans. Beyond them, tokens that stand behind a sensitive word
 are candidates. A candidate's novelty is the number of bytes by which it lengthens the
-compressed text around it, for a compressor that already holds that text and a dictionary of
-usual identifiers. Names, placeholders and values that the code repeats cost few bytes; a
-random key costs nearly its own length and is reported. A long key of few symbols costs less,
+compressed text around it, for a compressor that already holds that text, without the
+candidate's own copies, and a dictionary of usual identifiers. Names and placeholders cost few
+bytes; a random key costs nearly its own length and is reported. A long key of few symbols costs less,
 because its symbols get short codes; so what it costs is also held against random strings of
 the same symbols.
 """
@@ -71,6 +71,11 @@ def hex_runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(bounds, starts, "right") - 1, starts, ends
 
 
+def _core(token: bytes) -> bytes:
+    """A token without the signs at its ends, which may differ from copy to copy."""
+    return token.strip(b"+/_=.-") or token
+
+
 def _entropy(token: bytes) -> float:
     """Bits per symbol of a token."""
     share = np.bincount(np.frombuffer(token, np.uint8)) / len(token)
@@ -89,7 +94,11 @@ class Novelty:
         self.identifiers = identifiers.encode()
 
     def __call__(self, text: bytes, start: int, end: int) -> float:
-        before, after = text[max(start - CONTEXT, 0) : start], text[end : end + CONTEXT]
+        # A key that stands there twice is as new at both places, also where the context cuts its copy.
+        own, wide = _core(text[start:end]), CONTEXT + end - start
+        blank = b"\n" * len(own)
+        before = text[max(start - wide, 0) : start].replace(own, blank)[-CONTEXT:]
+        after = text[end : end + wide].replace(own, blank)[:CONTEXT]
         known = zstandard.ZstdCompressionDict(
             self.identifiers + b"\n" + after + b"\n" + before, dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
@@ -110,6 +119,7 @@ class Novelty:
 
 def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novelty) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
+    known: list[tuple[int, int]] = []
     reached = 0
     for word in _SENSITIVE.finditer(low):
         at = max(word.end(), reached)
@@ -123,9 +133,11 @@ def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novel
             continue
         digits = sum(48 <= c < 58 for c in token)
         letters = len(re.findall(rb"[A-Za-z]", token))
-        if digits >= 2 and letters >= 2 and novelty(text, start, end) >= LEAST_NOVELTY:
-            spans.append((start, end))
-    return spans
+        if digits >= 2 and letters >= 2:
+            (spans if novelty(text, start, end) >= LEAST_NOVELTY else known).append((start, end))
+    # A longer token that holds a new one is known by it only.
+    cores = {_core(text[a:b]) for a, b in spans} if known else set()
+    return spans + [(a, b) for a, b in known if any(core in text[a:b] for core in cores)]
 
 
 def find_spans(data: np.ndarray, bounds: np.ndarray, novelty: Novelty) -> list[list[tuple[int, int, int]]]:

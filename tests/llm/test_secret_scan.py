@@ -108,3 +108,15 @@ def test_random_keys_of_any_length_and_alphabet_are_found():
 def test_long_strings_of_few_symbols_are_no_keys():
     for line in ("-" * 80, "+-------1-------2-------+" * 4, "A1b2" * 40, "0" * 70 + "1a2b"):
         assert novel(f"the token {line} end") == []
+
+
+def test_a_key_that_occurs_twice_is_found_twice(documents):
+    rng = random.Random(12)
+    for n in (16, 40, 600):
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=n - 4)) + "a7B2"
+        for gap in ("\n", " and so on " * 20, " x y" * 110 + " "):
+            assert novel(f"Authorization: Bearer {key}{gap}Authorization: Bearer {key} end") == [key, key]
+        first, longer = novel(f"bearer {key} or auth=user={key}\n")
+        assert first == key and longer.endswith(f"=user={key}")
+    text = f"bearer {key}\nbearer {key}"
+    assert redact(documents([(1, text, "en", "a", len(text))])).first()["text"] == "bearer [secret]\nbearer [secret]"
