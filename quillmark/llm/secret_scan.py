@@ -6,7 +6,9 @@ compressed text around it, for a compressor that already holds that text, withou
 candidate's own copies, and a dictionary of usual identifiers. Names and placeholders cost few
 bytes; a random key costs nearly its own length and is reported. A long key of few symbols costs less,
 because its symbols get short codes; so what it costs is also held against random strings of
-the same symbols.
+the same symbols. A token with hardly a digit may be a word or a path in any language, which the
+compressor does not know: it is reported if its letters do not follow each other as in the text
+around it and in the identifiers.
 """
 
 import hashlib
@@ -32,6 +34,8 @@ CANDIDATE_BYTES, REACH, CONTEXT = 16, 64, 512
 LEAST_NOVELTY = 0.85
 # Shuffled copies of a candidate of which the cheapest is the measure, and bits per symbol from which on it is one.
 COPIES, LEAST_ENTROPY = 5, 2.5
+# Share of a token's pairs of letters that are usual ones, from which on it reads as words.
+LEAST_WORDLIKE = 0.6
 # What code calls things, and what stands where a secret would be.
 IDENTIFIERS = (
     "access account admin apikey application auth authorization backend base64 bearer build bucket changeme client "
@@ -52,6 +56,7 @@ _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"api")
 _ACCESS = re.compile(ACCESS.encode())
 _SENSITIVE = re.compile("|".join(SENSITIVE).encode(), re.I)
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=.-]{%d,}" % CANDIDATE_BYTES)
+_LETTERS, _WORDS = re.compile(rb"[A-Za-z]+"), re.compile(rb"[A-Z]?[a-z]+|[A-Z]+")
 _HEX = np.zeros(256, bool)
 _HEX[[*range(48, 58), *range(97, 103)]] = True
 
@@ -76,6 +81,10 @@ def _core(token: bytes) -> bytes:
     return token.strip(b"+/_=.-") or token
 
 
+def _letter_pairs(text: bytes, words: re.Pattern[bytes]) -> set[bytes]:
+    return {word[i : i + 2] for word in words.findall(text.lower()) for i in range(len(word) - 1)}
+
+
 def _entropy(token: bytes) -> float:
     """Bits per symbol of a token."""
     share = np.bincount(np.frombuffer(token, np.uint8)) / len(token)
@@ -92,13 +101,28 @@ class Novelty:
 
     def __init__(self, identifiers: str = IDENTIFIERS):
         self.identifiers = identifiers.encode()
+        self.pairs = _letter_pairs(self.identifiers, _LETTERS) - _letter_pairs(b"abcdefghijklmnopqrstuvwxyz", _LETTERS)
 
-    def __call__(self, text: bytes, start: int, end: int) -> float:
+    def _around(self, text: bytes, start: int, end: int) -> tuple[bytes, bytes]:
         # A key that stands there twice is as new at both places, also where the context cuts its copy.
         own, wide = _core(text[start:end]), CONTEXT + end - start
         blank = b"\n" * len(own)
-        before = text[max(start - wide, 0) : start].replace(own, blank)[-CONTEXT:]
-        after = text[end : end + wide].replace(own, blank)[:CONTEXT]
+        return (text[max(start - wide, 0) : start].replace(own, blank)[-CONTEXT:],
+                text[end : end + wide].replace(own, blank)[:CONTEXT])
+
+    def reads_as_words(self, text: bytes, start: int, end: int) -> bool:
+        """Whether a token with few digits or letters consists of pairs of letters that are usual around it."""
+        token = text[start:end]
+        letters = _LETTERS.findall(token)
+        if sum(map(len, letters)) >= 2 and sum(48 <= c < 58 for c in token) >= 2:
+            return False
+        before, after = self._around(text, start, end)
+        usual = self.pairs | _letter_pairs(before, _LETTERS) | _letter_pairs(after, _LETTERS)
+        read = sum(word[i : i + 2].lower() in usual for word in _WORDS.findall(token) for i in range(len(word) - 1))
+        return read >= LEAST_WORDLIKE * max(sum(len(run) - 1 for run in letters), 1)
+
+    def __call__(self, text: bytes, start: int, end: int) -> float:
+        before, after = self._around(text, start, end)
         known = zstandard.ZstdCompressionDict(
             self.identifiers + b"\n" + after + b"\n" + before, dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
@@ -122,19 +146,15 @@ def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novel
     known: list[tuple[int, int]] = []
     reached = 0
     for word in _SENSITIVE.finditer(low):
+        limit = min(word.end() + REACH, len(text))
         at = max(word.end(), reached)
-        match = _CANDIDATE.search(text, at, min(word.end() + REACH, len(text)))
-        if match is None:
-            continue
-        end = _CANDIDATE.match(text, match.start()).end()  # the whole token, also beyond the reach
-        start, reached = match.start(), end
-        token = text[start:end]
-        if any(a < end and start < b for a, b in taken):
-            continue
-        digits = sum(48 <= c < 58 for c in token)
-        letters = len(re.findall(rb"[A-Za-z]", token))
-        if digits >= 2 and letters >= 2:
-            (spans if novelty(text, start, end) >= LEAST_NOVELTY else known).append((start, end))
+        while at < limit and (match := _CANDIDATE.search(text, at, limit + CANDIDATE_BYTES - 1)):
+            # The whole token, also beyond the reach.
+            start, end = match.start(), _CANDIDATE.match(text, match.start()).end()
+            at = reached = end
+            if not any(a < end and start < b for a, b in taken):
+                new = novelty(text, start, end) >= LEAST_NOVELTY and not novelty.reads_as_words(text, start, end)
+                (spans if new else known).append((start, end))
     # A longer token that holds a new one is known by it only.
     cores = {_core(text[a:b]) for a, b in spans} if known else set()
     return spans + [(a, b) for a, b in known if any(core in text[a:b] for core in cores)]

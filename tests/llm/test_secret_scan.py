@@ -120,3 +120,14 @@ def test_a_key_that_occurs_twice_is_found_twice(documents):
         assert first == key and longer.endswith(f"=user={key}")
     text = f"bearer {key}\nbearer {key}"
     assert redact(documents([(1, text, "en", "a", len(text))])).first()["text"] == "bearer [secret]\nbearer [secret]"
+
+
+def test_every_token_behind_a_sensitive_word_is_measured():
+    key = "q8Zt3VbN0xR7yLwK2mJd5HsG"
+    assert novel(f"the token in /usr/local/share/application-data is {key}") == [key]
+    assert novel(f"token='abcdefgh1234' and then the key {key}") == [key]
+    assert novel(f"auth {key} {key[::-1]} end") == [key, key[::-1]]
+    for plain in ("qZtxVbNwxRkyLwKcmJdfHsGp", "qZtxVbNwxRkyLwKcmJdfHs7p", "83920174650918273645"):
+        assert novel(f"Authorization: Bearer {plain} end") == [plain]
+    for name in ("src/main/java/org/apache/hadoop/fs/Path.java", "XMLHttpRequestFactoryBean", "docs/getting-started/authentication"):
+        assert novel(f"the token in {name} is read") == []
