@@ -45,7 +45,3 @@ def corpus(spark):
     """Three small documents with results worked out by hand."""
     texts = ["The cat, the Dog\nÉTÉ café a", "the dog_1 don't sit", "Cat cat the"]
     return spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
-
-
-def rows(df, *columns):
-    return sorted(tuple(row) for row in df.select(*columns).collect())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from conftest import rows
+from frames import rows
 from quillmark.functions import tokenizers
 from quillmark.operators import joins, prefix, resume, sentiment
 from quillmark.plans import corpus_prep

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from quillmark.functions import stopwords, text, tokenizers
 from quillmark.operators import counts, profile
 from quillmark.sources import catalog, readers, writers

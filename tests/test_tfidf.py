@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from quillmark.functions import scoring, tokenizers
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
 from quillmark.operators import counts, joins
