@@ -11,6 +11,7 @@ from quillmark.llm import (
     fingerprints,
     language_id,
     lm_scoring,
+    merkle,
     mixing,
     near_dedup,
     pii,
@@ -75,6 +76,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_documents(spark, sf_dir, "lang", "source", "n_chars"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -93,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_near_dedup": near_dedup.SQL,
     "op9_mixing": mixing.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
