@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillmark.llm import (
     chat_trees,
     decontamination,
+    divergence,
     fingerprints,
     language_id,
     lm_scoring,
@@ -80,6 +81,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_documents(spark, sf_dir, "lang", "source", "n_chars"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -100,4 +106,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_mixing": mixing.SQL,
     "op10_decontamination": decontamination.SQL,
     "op12_merkle_manifest": merkle.SQL,
+    "op13_source_divergence": divergence.SQL,
 }
