@@ -10,6 +10,7 @@ from quillmark.llm import (
     decontamination,
     divergence,
     fingerprints,
+    html_text,
     language_id,
     lm_scoring,
     merkle,
@@ -77,6 +78,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_documents(spark, sf_dir, "lang", "source", "n_chars"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op11_html_extraction": op11_html_extraction,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_source_divergence": op13_source_divergence,
 }
