@@ -6,12 +6,14 @@ import functools
 import tempfile
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions import scoring, text, tokenizers
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
-from quillmark.operators import counts, joins, prefix, profile, resume, sentiment
+from quillmark.operators import counts, joins, prefix, profile, resume, sentiment, sketches
 from quillmark.plans import corpus_prep, tfidf, vectors
 from quillmark.sources import catalog, readers, writers
 from quillmark.sources.staging import output_path, stage
@@ -401,12 +403,17 @@ def token_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     "n_bytes::DOUBLE / records::DOUBLE AS bytes_per_record FROM p",
 )
 def stage_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records and bytes of the text files that the steps of the corpus job read: texts, counts, scores."""
-    paths = {name: output_path(spark, f"profile-{name}") for name in ("count", "score", "export")}
-    writers.write_lines(_table(spark, sf_dir, "documents", ["text"]), paths["count"])
-    writers.write_lines(writers.key_value_lines(ws_word_count(spark, sf_dir), "word", "tf"), paths["score"])
-    writers.write_lines(writers.score_lines(corpus_tfidf_stage1(spark, sf_dir), "word", "tfidf"), paths["export"])
-    return profile.input_profile({name: spark.read.text(path) for name, path in paths.items()})
+    """Records and bytes of the text records that the steps of the corpus job read, taken while it runs."""
+    watch = profile.Watch()
+    text_lines = F.size(F.split("text", readers.LINE_BREAK))
+    texts = _table(spark, sf_dir, "documents", ["text"])
+    texts = watch.through(texts, "count", **profile.records_and_bytes(_text(), text_lines))
+    words = counts.word_count(texts, _ws())
+    words = watch.through(words, "score", **profile.records_and_bytes(F.concat_ws("\t", "word", F.col("tf").cast("string"))))
+    scores = tfidf.corpus_tfidf_first_pass(words, _n_docs(spark, sf_dir)).withColumn("tfidf", scoring.six_decimals(F.col("tfidf")))
+    scores = watch.through(scores, "export", **profile.records_and_bytes(F.format_string("%s\t%.6f", "word", "tfidf")))
+    writers.materialise(scores)
+    return profile.input_profile(spark, {name: watch.figures(name) for name in ("count", "score", "export")})
 
 
 @query(
@@ -416,14 +423,20 @@ def stage_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'tfidf', count(*)::BIGINT, count(DISTINCT doc_id)::BIGINT FROM tf JOIN df USING (term)",
 )
 def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and documents that the steps of the document job leave."""
-    docs = _docs(spark, sf_dir)
-    stages = {
-        "tokens": counts.explode_tokens(docs, DOC, _re(), keep=LONG),
-        "tf": counts.term_frequency(docs, DOC, _re(), keep=LONG),
-        "tfidf": tfidf.document_tfidf(docs, DOC, _re(), scoring.idf_smooth, LONG),
-    }
-    return profile.stage_rows(stages, DOC)
+    """Rows and documents that the steps of the document job leave, taken while it runs; the texts are tokenized once."""
+    watch = profile.Watch()
+    docs = _docs(spark, sf_dir).select("doc_id", _re().alias("tokens"))
+    docs = watch.through(docs, "docs", n_docs=F.count_if(F.exists("tokens", LONG)))
+    terms = counts.term_frequency(docs, DOC, F.col("tokens"), keep=LONG, document_rows=True)
+    terms = watch.through(terms, "tf", n_rows=F.count("term"), n_tokens=F.sum("tf"))
+    terms = stage(terms, "document-terms")
+    scores = tfidf.score(terms, DOC, tfidf.fit(counts.term_statistics(terms)), scoring.idf_smooth)
+    scored = scores.groupBy(*DOC).agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("*")).first()
+    n_docs, tf = watch.figures("docs")["n_docs"], watch.figures("tf")
+    return spark.createDataFrame(
+        [("tokens", tf["n_tokens"], n_docs), ("tf", tf["n_rows"], n_docs), ("tfidf", scored[0] or 0, scored[1])],
+        "stage string, n_rows long, n_docs long",
+    )
 
 
 # Lines as documents
@@ -482,6 +495,41 @@ def line_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(model.ranked().select("term", "c", "df", "rank", idf.alias("idf")), "idf")
 
 
+@query(
+    "pruned_line_vocabulary",
+    f"WITH {_SQL_VOCABULARY} SELECT term, c, df, rank, round(ln((n + 1) / (df + 1)), 6) + 0.0::DOUBLE AS idf "
+    "FROM vocabulary, n",
+)
+def pruned_line_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vocabulary, with rare terms pruned by sketches before the shuffle."""
+    statistics = tfidf.pruned_statistics(_lines(spark, sf_dir), _line_tokens(), 2, LINE_KEEP)
+    model = tfidf.fit(statistics, min_df=2, vocab_size=VOCAB_SIZE)
+    idf = scoring.idf_ml(F.lit(model.n_docs), F.col("df"))
+    return _rounded(model.ranked().select("term", "c", "df", "rank", idf.alias("idf")), "idf")
+
+
+@query(
+    "vocabulary_size_by_source",
+    f"WITH {_SQL_RE}, t AS (SELECT source, term FROM re JOIN documents USING (doc_id)) SELECT source, "
+    "count(DISTINCT term)::BIGINT AS vocab_size, true AS within_error FROM t GROUP BY source "
+    "UNION ALL SELECT NULL, count(DISTINCT term)::BIGINT, true FROM t",
+)
+def vocabulary_size_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct terms of each source and of all, and whether stored and merged sketches give them within their error."""
+    terms = counts.explode_tokens(_docs(spark, sf_dir, "lang", "source"), ["lang", "source"], _re(), keep=LONG)
+    stored = stage(sketches.distinct_sketches(terms, ["lang", "source"]), "vocabulary-sketches")
+    by_source, whole = sketches.merged_estimate(stored, ["source"]), sketches.merged_estimate(stored, [])
+    estimates = by_source.unionByName(whole.withColumn("source", F.lit(None).cast("string")))
+    distinct = terms.select("source", "term").distinct()
+    exact = distinct.groupBy("source").agg(F.count("*").alias("vocab_size")).unionByName(
+        distinct.select(F.lit(None).cast("string").alias("source"), "term").distinct()
+        .groupBy("source").agg(F.count("*").alias("vocab_size"))
+    )
+    near = sketches.within_error(F.col("vocab_size"), F.col("estimate")).alias("within_error")
+    other = estimates.withColumnRenamed("source", "_source")
+    return exact.join(other, F.col("source").eqNullSafe(F.col("_source"))).select("source", "vocab_size", near)
+
+
 _SQL_LINE_TFIDF = (
     f"WITH {_SQL_VOCABULARY} SELECT doc_id, line_no, term, round(tf * ln((n + 1) / (df + 1)), 6) + 0.0::DOUBLE AS tfidf "
     "FROM ltf JOIN vocabulary USING (term), n"
@@ -496,36 +544,61 @@ def line_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scores)
 
 
+def _line_index(lines: DataFrame) -> tuple[DataFrame, vectors.TermIndex]:
+    """Counts of the line documents, tokenized once, and the term index fitted to them."""
+    terms = tfidf.document_terms(lines, LINE, _line_tokens(), LINE_KEEP)
+    model = tfidf.fit(counts.term_statistics(terms), min_df=2, vocab_size=VOCAB_SIZE)
+    return terms, vectors.index_terms(model)
+
+
 @query("ml_line_tfidf", _SQL_LINE_TFIDF)
 def ml_line_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores as sparse vectors of Spark ML, turned back into rows."""
-    lines = _lines(spark, sf_dir)
-    model = _line_model(lines)
-    pipeline = vectors.fit_vector_pipeline(spark, model, "line")
-    scored = pipeline.transform(lines).select(*LINE, "tfidf")
-    return _rounded(vectors.vector_rows(scored, LINE, pipeline))
+    terms, index = _line_index(_lines(spark, sf_dir))
+    found = vectors.as_ml_vectors(vectors.document_vectors(terms, LINE, index))
+    return _rounded(vectors.vector_rows(vectors.vector_parts(found, LINE), LINE, index))
 
 
-@query(
-    "line_vectors",
+_SQL_LINE_VECTORS = (
     f"WITH {_SQL_VOCABULARY} SELECT doc_id, line_no, (SELECT count(*) FROM vocabulary)::INT AS size, "
     "coalesce(string_agg((rank - 1)::VARCHAR, ',' ORDER BY rank), '') AS indices, coalesce(string_agg("
     "printf('%.6f', round(tf * ln((n + 1) / (df + 1)), 6) + 0.0::DOUBLE), ',' ORDER BY rank), '') AS vector_values "
-    "FROM lines LEFT JOIN (SELECT * FROM ltf JOIN vocabulary USING (term), n) USING (doc_id, line_no) GROUP BY ALL",
+    "FROM lines LEFT JOIN (SELECT * FROM ltf JOIN vocabulary USING (term), n) USING (doc_id, line_no) GROUP BY ALL"
 )
-def line_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line vectors themselves, written as a table and read back; lists as text."""
-    lines = _lines(spark, sf_dir)
-    pipeline = vectors.fit_vector_pipeline(spark, _line_model(lines), "line")
-    path = output_path(spark, "line-vectors")
-    writers.write_table(vectors.vector_parts(pipeline.transform(lines), LINE), path)
+
+
+def _printed_vectors(parts: DataFrame) -> DataFrame:
+    """Vectors with their lists as text."""
     printed = F.transform("values", lambda v: F.format_string("%.6f", scoring.six_decimals(v)))
-    return spark.read.parquet(path).select(
+    return parts.select(
         *LINE, "size", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"),
         F.array_join(printed, ",").alias("vector_values"),
     )
 
 
+@query("line_vectors", _SQL_LINE_VECTORS)
+def line_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line vectors themselves, written as a table and read back; lists as text."""
+    path = output_path(spark, "line-vectors")
+    terms, index = _line_index(_lines(spark, sf_dir))
+    writers.write_table(vectors.document_vectors(terms, LINE, index), path)
+    return _printed_vectors(spark.read.parquet(path))
+
+
+@query("saved_pipeline_vectors", _SQL_LINE_VECTORS)
+def saved_pipeline_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line vectors of a Spark ML pipeline that was fitted, saved and loaded again."""
+    path = output_path(spark, "line-pipeline")
+    lines = _lines(spark, sf_dir)
+    stages = [
+        RegexTokenizer(inputCol="line", outputCol="all_tokens", pattern=tokenizers.NON_WORD_ASCII, minTokenLength=2),
+        StopWordsRemover(inputCol="all_tokens", outputCol="tokens", stopWords=ENGLISH_STOP_WORDS),
+        vectors.TermVectorizer(keyCols=LINE, minDF=2, vocabSize=VOCAB_SIZE),
+    ]
+    Pipeline(stages=stages).fit(lines).write().overwrite().save(path)
+    return _printed_vectors(vectors.vector_parts(PipelineModel.load(path).transform(lines), LINE))
+
+
 # Corpus preparation
 
 _MARKED = {

@@ -1,6 +1,6 @@
 """One-row and per-stage summaries of a corpus."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions.scoring import megabytes, per
@@ -46,36 +46,39 @@ def token_profile(docs: DataFrame, tokens: Column, keep: Keep = NOT_EMPTY) -> Da
     )
 
 
-def input_profile(inputs: dict[str, DataFrame], value: str = "value") -> DataFrame:
-    """``(stage, records, n_bytes, mb, bytes_per_record)`` of the text records that each step reads.
+class Watch:
+    """Figures of the steps of a job, taken while it runs: nothing is written or computed again to be counted.
 
-    ``inputs`` names the tables of lines, as a job's steps read them; each is scanned once. A
-    record's line feed counts as a byte.
+    ``through`` puts a step's table through an observation; its figures are there once an action has run over
+    the table. Spark adds them up task by task. A task that fails and runs again counts once. Where a lost
+    executor takes finished shuffle output with it, its tasks run again and count again: figures are exact for
+    a run without such a loss and an upper bound otherwise. A table that two actions read is observed in the first.
     """
-    one = F.octet_length(value).cast("bigint") + 1
-    totals = [
-        lines.agg(F.count("*").alias("records"), F.coalesce(F.sum(one), F.lit(0)).alias("n_bytes")).select(
-            F.lit(name).alias("stage"), "records", "n_bytes"
-        )
-        for name, lines in inputs.items()
-    ]
-    rows = totals[0]
-    for more in totals[1:]:
-        rows = rows.unionByName(more)
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def through(self, table: DataFrame, name: str, **figures: Column) -> DataFrame:
+        """``table``, whose ``figures`` (aggregates) are observed under ``name``."""
+        self._seen[name] = Observation()
+        return table.observe(self._seen[name], *[figure.alias(label) for label, figure in figures.items()])
+
+    def figures(self, name: str) -> dict[str, int]:
+        """What was observed; a sum over no rows is 0."""
+        return {label: value or 0 for label, value in self._seen[name].get.items()}
+
+
+def records_and_bytes(line: Column, n_lines: Column | None = None) -> dict[str, Column]:
+    """The figures of text records as a step reads them; a record's line feed counts as a byte."""
+    records = F.count("*") if n_lines is None else F.sum(n_lines.cast("bigint"))
+    return {"records": records, "n_bytes": F.sum(F.octet_length(line).cast("bigint") + 1)}
+
+
+def input_profile(spark: SparkSession, steps: dict[str, dict[str, int]]) -> DataFrame:
+    """``(stage, records, n_bytes, mb, bytes_per_record)`` of the observed steps, a row each."""
+    rows = spark.createDataFrame(
+        [(name, seen["records"], seen["n_bytes"]) for name, seen in steps.items()], "stage string, records long, n_bytes long"
+    )
     return rows.withColumn("mb", megabytes(F.col("n_bytes"))).withColumn(
         "bytes_per_record", per(F.col("n_bytes"), F.col("records"))
     )
-
-
-def stage_rows(stages: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """``(stage, n_rows, n_docs)``: rows and distinct documents of the table that each step leaves."""
-    counted = [
-        table.groupBy(*keys).agg(F.count("*").alias("n")).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_docs")
-        ).select(F.lit(name).alias("stage"), "n_rows", "n_docs")
-        for name, table in stages.items()
-    ]
-    rows = counted[0]
-    for more in counted[1:]:
-        rows = rows.unionByName(more)
-    return rows

@@ -10,13 +10,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmark.functions.scoring import idf_plain, printed_integer, six_decimals
 from quillmark.functions.tokenizers import NOT_EMPTY, Keep
-from quillmark.operators.counts import document_term_statistics, lines_by_key, term_frequency, term_statistics
+from quillmark.operators.counts import (
+    document_term_statistics,
+    explode_tokens,
+    lines_by_key,
+    term_frequency,
+    term_statistics,
+)
 from quillmark.operators.joins import BROADCAST_BYTES, join_on_key
 from quillmark.operators.prefix import running_prefix, top_k
+from quillmark.operators.sketches import frequent_filter, maybe_frequent
 from quillmark.sources.staging import stage
 
 Idf = Callable[[Column, Column], Column]
@@ -28,13 +36,14 @@ NUMBERS_BYTES = 64
 
 @dataclass(frozen=True)
 class TermModel:
-    """Number of documents, the vocabulary ``(term, df)`` as a staged table, and its size.
+    """Number of documents, the vocabulary ``(term, df)`` as a staged table, and its size in terms and bytes.
 
     The vocabulary also has the corpus count ``c`` if the statistics had it.
     """
 
     n_docs: int
     vocabulary: DataFrame
+    n_terms: int
     n_bytes: int
 
     def idf(self, formula: Idf) -> DataFrame:
@@ -42,7 +51,12 @@ class TermModel:
         return self.vocabulary.select("term", "df", formula(F.lit(self.n_docs), F.col("df")).alias("idf"))
 
     def ranked(self) -> DataFrame:
-        """Vocabulary with ``rank`` from 1, by corpus count and then by term."""
+        """Vocabulary with ``rank`` from 1, by corpus count and then by term.
+
+        One task ranks a vocabulary that it may also get by broadcast; a larger one is ranked in slices.
+        """
+        if self.n_bytes <= BROADCAST_BYTES:
+            return self.vocabulary.withColumn("rank", F.row_number().over(W.orderBy(*_by_count())).cast("bigint"))
         return running_prefix(self.vocabulary, _by_count(), F.lit(1), 0, "rank")
 
 
@@ -62,8 +76,20 @@ def fit(statistics: DataFrame, min_df: int = 1, vocab_size: int | None = None) -
     known = stats.where(F.col("term").isNotNull() & (F.col("df") >= min_df))
     if vocab_size is not None and n_terms > vocab_size:
         known = stage(top_k(known, _by_count(), vocab_size).drop("rank"), "vocabulary")
-        n_bytes = known.agg(_vocabulary_bytes(F.col("term"))).first()[0]
-    return TermModel(n_docs, known, n_bytes)
+        n_terms, n_bytes = vocab_size, known.agg(_vocabulary_bytes(F.col("term"))).first()[0]
+    return TermModel(n_docs, known, n_terms, n_bytes)
+
+
+def pruned_statistics(docs: DataFrame, tokens: Column, min_df: int, keep: Keep = NOT_EMPTY) -> DataFrame:
+    """``(term, df, c)`` of the terms in ``min_df`` documents or more, and of few others, with the null term.
+
+    A pass over the tokens fills Count-Min sketches of bounded size; by them most terms that ``fit`` would leave
+    out go before the shuffle, and the rest are counted exactly. It pays where rare terms are most of what tasks
+    send: with a high ``min_df``, or few tasks. The texts are tokenized twice.
+    """
+    known = frequent_filter(explode_tokens(docs, [], F.array_distinct(tokens), keep=keep), min_df)
+    terms = term_frequency(docs, [], tokens, keep=keep, document_rows=True)
+    return term_statistics(maybe_frequent(terms, known))
 
 
 def _by_count() -> list[Column]:

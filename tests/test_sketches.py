@@ -1,0 +1,78 @@
+"""Pruning by Count-Min sketches, and sizes by HyperLogLog, against exact counts."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillmark.functions import tokenizers
+from quillmark.operators import counts, sketches
+from quillmark.plans import tfidf
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    random.seed(5)
+    terms = ["hot"] * 3000 + [f"t{random.randrange(400)}" for _ in range(3000)] + [f"once{i}" for i in range(3000)]
+    random.shuffle(terms)
+    return terms, spark.createDataFrame([(t,) for t in terms], "term string").repartition(8)
+
+
+@pytest.mark.parametrize("least, cells, depth", [(2, 1 << 12, 2), (5, 1 << 10, 3), (9, 100, 1), (3, 64, 2)])
+def test_no_frequent_term_is_lost(skewed, least, cells, depth):
+    terms, rows = skewed
+    known = sketches.frequent_filter(rows, least, parts=4, cells=cells, depth=depth)
+    left = Counter(r[0] for r in sketches.maybe_frequent(rows, known, parts=4, depth=depth).collect())
+    exact = Counter(terms)
+    assert {t: n for t, n in exact.items() if n >= least}.items() <= left.items()
+    assert left.items() <= exact.items()
+    if cells >= 1 << 10:
+        rare = sum(n < least for n in exact.values())
+        assert sum(n < least for n in left.values()) < 0.1 * rare
+
+
+def test_null_terms_stay_and_empty_tables_pass(spark):
+    rows = spark.createDataFrame([(None,), ("a",), ("b",), ("b",)], "term string")
+    known = sketches.frequent_filter(rows, 2)
+    assert sorted(str(r[0]) for r in sketches.maybe_frequent(rows, known).collect()) == ["None", "b", "b"]
+    nothing = spark.createDataFrame([], "term string")
+    known = sketches.frequent_filter(nothing, 2)
+    assert sketches.maybe_frequent(nothing, known).collect() == []
+
+
+def _sent(rows):
+    """Rows that the tasks send: one a term of a task."""
+    return rows.select("term", F.spark_partition_id().alias("task")).distinct().count()
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_the_shuffle_is_halved_and_the_vocabulary_is_the_same(spark, sf_dir, size):
+    docs = spark.read.parquet(f"{sf_dir}/../{size}/documents.parquet").select("text").repartition(8)
+    tokens, least = tokenizers.unicode_tokens(F.col("text")), 10
+    terms = counts.term_frequency(docs, [], tokens)
+    known = sketches.frequent_filter(counts.explode_tokens(docs, [], F.array_distinct(tokens)), least)
+    assert _sent(sketches.maybe_frequent(terms, known)) < 0.5 * _sent(terms)
+    pruned = tfidf.fit(tfidf.pruned_statistics(docs, tokens, least), least)
+    whole = tfidf.fit(counts.term_statistics(counts.term_frequency(docs, [], tokens, document_rows=True)), least)
+    assert pruned.n_docs == whole.n_docs
+    assert sorted(pruned.vocabulary.collect()) == sorted(whole.vocabulary.collect())
+
+
+def test_the_broadcast_is_bounded(skewed):
+    _, rows = skewed
+    known = sketches.frequent_filter(rows, 2, parts=4, cells=1 << 12, depth=2)
+    assert known.agg(F.sum(F.size("bits") * 8)).first()[0] <= 4 * 2 * (1 << 12) / 8 * 1.1
+
+
+def test_merged_sketches_equal_one_sketch_within_the_error(spark):
+    rows = spark.range(60_000).select((F.col("id") % 5).alias("a"), (F.col("id") % 3).alias("b"), (F.col("id") % 20_000).cast("string").alias("term"))
+    parts = sketches.distinct_sketches(rows, ["a", "b"])
+    merged = sketches.merged_estimate(parts, ["a"]).collect()
+    exact = dict(rows.groupBy("a").agg(F.count_distinct("term")).collect())
+    assert all(abs(n - exact[a]) <= 5 * 1.04 / 64 * exact[a] for a, n in merged) and len(merged) == 5
+    whole = sketches.merged_estimate(parts, []).first()[0]
+    ok = spark.range(1).select(
+        sketches.within_error(F.lit(20_000), F.lit(whole)), sketches.within_error(F.lit(20_000), F.lit(23_000))
+    ).first()
+    assert tuple(ok) == (True, False)

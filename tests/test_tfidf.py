@@ -1,6 +1,9 @@
 """Golden corpus, model properties, and the join beyond its broadcast budget."""
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import RegexTokenizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from frames import rows
@@ -94,13 +97,57 @@ def test_line_scores_rows_and_vectors(corpus):
     staged = tfidf.document_tfidf(lines, key, line(), scoring.idf_ml, LINE_KEEP, min_df=2, stage_counts=True)
     assert scored(staged, *key, "term") == want
     model = line_model(lines, min_df=2)
-    pipeline = vectors.fit_vector_pipeline(corpus.sparkSession, model, "line")
-    scores = pipeline.transform(lines).select(*key, "tfidf")
-    assert scored(vectors.vector_rows(scores, key, pipeline), *key, "term") == want
-    parts = vectors.vector_parts(scores, key).where("size(indices) > 0")
-    assert [r[:3] for r in rows(parts, *key, "size")] == [(1, 0, 1), (3, 0, 1)]
-    nothing = vectors.fit_vector_pipeline(corpus.sparkSession, line_model(lines, min_df=9), "line")
-    assert vectors.vector_rows(nothing.transform(lines).select(*key, "tfidf"), key, nothing).isEmpty()
+    terms = tfidf.document_terms(lines, key, line(), LINE_KEEP)
+    index = vectors.index_terms(model)
+    parts = vectors.document_vectors(terms, key, index)
+    assert scored(vectors.vector_rows(parts, key, index), *key, "term") == want
+    ml = vectors.as_ml_vectors(parts)
+    assert {(r[0], r[1], r[2]) for r in ml.collect()} >= {(2, 0, Vectors.sparse(1, [], []))}
+    filled = vectors.vector_parts(ml, key).where("size(indices) > 0")
+    assert [r[:3] for r in rows(filled, *key, "size")] == [(1, 0, 1), (3, 0, 1)]
+    nothing = vectors.index_terms(line_model(lines, min_df=9))
+    empty = vectors.document_vectors(terms, key, nothing)
+    assert {r["size"] for r in empty.collect()} == {0} and empty.count() == lines.count()
+    assert vectors.vector_rows(empty, key, nothing).isEmpty()
+
+
+@pytest.mark.parametrize("budget", [0.5, 100, 10_000])
+def test_vectors_do_not_depend_on_the_budget(corpus, budget):
+    terms = tfidf.document_terms(corpus, ["doc_id"], tokenizers.ascii_tokens(F.col("text")), LONG)
+    model = tfidf.fit(counts.term_statistics(terms))
+    index = vectors.index_terms(model)
+    want = sorted((r["doc_id"], tuple(r["indices"])) for r in vectors.document_vectors(terms, ["doc_id"], index).collect())
+    parts = vectors.document_vectors(terms, ["doc_id"], index, budget)
+    assert sorted((r["doc_id"], tuple(r["indices"])) for r in parts.collect()) == want
+    got = vectors.vector_rows(parts, ["doc_id"], index, budget=budget)
+    assert {tuple(r) for r in got.select("doc_id", "term").collect()} == {
+        tuple(r) for r in terms.where("term IS NOT NULL").select("doc_id", "term").collect()
+    }
+
+
+def test_vectors_leave_no_terms_on_the_driver(corpus):
+    """Terms are joined; no term is a literal of the plan, and no Python runs."""
+    terms = tfidf.document_terms(corpus, ["doc_id"], tokenizers.ascii_tokens(F.col("text")), LONG)
+    index = vectors.index_terms(tfidf.fit(counts.term_statistics(terms)))
+    plan = vectors.document_vectors(terms, ["doc_id"], index)._jdf.queryExecution().toString()
+    assert "LocalTableScan" not in plan and "LogicalRDD" not in plan and "Python" not in plan and "Join" in plan
+
+
+def test_a_saved_pipeline_gives_the_same_vectors(corpus, tmp_path):
+    stages = [
+        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=tokenizers.NON_WORD_ASCII, minTokenLength=2),
+        vectors.TermVectorizer(keyCols=["doc_id"], minDF=1, vocabSize=5),
+    ]
+    model = Pipeline(stages=stages).fit(corpus)
+    path = str(tmp_path / "pipeline")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    assert rows(loaded.transform(corpus), "doc_id", "tfidf") == rows(model.transform(corpus), "doc_id", "tfidf")
+    assert {v.size for _, v in rows(loaded.transform(corpus), "doc_id", "tfidf")} == {5}
+    unknown = corpus.sparkSession.createDataFrame([(9, "zzz unseen"), (8, None)], "doc_id long, text string")
+    known = PipelineModel(loaded.stages[1:])
+    tokens = unknown.select("doc_id", F.split("text", " ").alias("tokens"))
+    assert rows(known.transform(tokens), "doc_id", "tfidf") == [(8, Vectors.sparse(5, [], [])), (9, Vectors.sparse(5, [], []))]
 
 
 def test_blank_lines_and_empty_documents_are_documents(spark, corpus):
