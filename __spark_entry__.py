@@ -11,7 +11,7 @@ from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.functions import scoring, text, tokenizers
+from quillmark.functions import scoring, sql, text, tokenizers
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
 from quillmark.operators import counts, joins, prefix, profile, resume, sentiment, sketches
 from quillmark.plans import corpus_prep, tfidf, vectors
@@ -164,6 +164,17 @@ def ws_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.word_count(_docs(spark, sf_dir), _ws())
 
 
+@query("sql_word_count", f"WITH {_SQL_WC} SELECT word, tf FROM wc")
+def sql_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word count as one statement over the library's SQL functions."""
+    sql.register(spark)
+    return spark.sql(
+        "SELECT word, count(*) AS tf FROM (SELECT whitespace_tokens(text) AS words FROM {docs}) "
+        "LATERAL VIEW explode(words) AS word GROUP BY word",
+        docs=_docs(spark, sf_dir),
+    )
+
+
 @query("text_line_word_count", f"WITH {_SQL_WC} SELECT word, tf FROM wc")
 def text_line_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The word count from text files read by line."""
@@ -341,6 +352,26 @@ def df_side_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scored.select("word", "df", score.alias("tfidf")))
 
 
+@query(
+    "bucketed_side_table_scores",
+    f"WITH {_SQL_WC}, {_SQL_N}, cw AS (SELECT DISTINCT conv_id, turn, word FROM (SELECT conv_id, turn, "
+    rf"unnest(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '[ \t\n\r]+')) AS word FROM conversations) "
+    "WHERE word <> ''), df AS (SELECT word, count(*) AS df FROM cw GROUP BY word) "
+    "SELECT word, coalesce(df, 1)::BIGINT AS df, round(tf * ln(n / (coalesce(df, 1) + 1)), 6) + 0.0::DOUBLE AS tfidf "
+    "FROM wc LEFT JOIN df USING (word), n",
+)
+def bucketed_side_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores from a side table that is kept bucketed by word."""
+    turns = _table(spark, sf_dir, "conversations", ["text"])
+    path = output_path(spark, "df-buckets")
+    side = writers.write_bucketed(
+        counts.document_frequency(turns, _ws(), "word"), f"df_buckets_{path.rsplit('-', 1)[1]}", path, "word"
+    )
+    scored = joins.with_bucketed_df(counts.word_count(_docs(spark, sf_dir), _ws()), side)
+    score = F.col("tf") * scoring.idf_plain(_n_docs(spark, sf_dir), F.col("df"))
+    return _rounded(scored.select("word", "df", score.alias("tfidf")))
+
+
 # Corpus TF-IDF as the chained jobs compute it
 
 
@@ -750,6 +781,25 @@ def resume_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.already_saved(books, _saved(spark, sf_dir)).select("id", "file_name", "saved_bytes")
 
 
+@query(
+    "resume_from_folder",
+    f"WITH {_SQL_BOOKS}, f AS (SELECT {_SQL_NAME} AS file_name, strlen(text)::BIGINT + 1 AS saved_bytes FROM documents "
+    "WHERE doc_id % 3 = 0 AND doc_id % 7 <> 3) "
+    "SELECT page_no, file_name, saved_bytes FROM books LEFT JOIN f USING (file_name)",
+)
+def resume_from_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books with the size of the files that an earlier run wrote; one of its files is empty, so it is still to fetch."""
+    books = stage(catalog_text_url(spark, sf_dir), "books")
+    folder = output_path(spark, "saved-books")
+    named = books.where("page_no % 7 <> 3").select(F.col("page_no").alias("doc_id"), "file_name")
+    texts = _docs(spark, sf_dir).where("doc_id % 3 = 0").join(named, "doc_id")
+    writers.write_documents(texts, "file_name", folder)
+    empty = books.where("id % 3 = 1").agg(F.min("file_name")).first()[0]
+    writers.write_lines(books.where("false").select(F.col("file_name").alias("value")), f"{folder}/file_name={empty}")
+    saved = resume.saved_files(readers.list_files(spark, folder))
+    return resume.with_saved_bytes(books, saved).select("page_no", "file_name", "saved_bytes")
+
+
 @query(
     "byte_budget_prefix",
     "SELECT doc_id, n_bytes, running_bytes FROM (SELECT doc_id, strlen(text)::BIGINT AS n_bytes, "
@@ -948,6 +998,25 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("doc_id", tokenizers.from_payload(F.col("value")).alias("text"))
 
 
+@query(
+    "stream_dead_letters",
+    f"SELECT doc_id, CASE WHEN doc_id % 5 <> 0 AND doc_id % 17 <> 1 THEN {_SQL_WORDS} END AS n_words, "
+    "CASE WHEN doc_id % 17 = 1 THEN NULL WHEN doc_id % 5 = 0 THEN strlen(text)::BIGINT + 2 END AS n_bytes, "
+    "CASE WHEN doc_id % 17 = 1 THEN 'no value' WHEN doc_id % 5 = 0 THEN 'not UTF-8' END AS reason FROM documents",
+)
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of messages of which some are cut inside a character and some have no value: both sinks together."""
+    sent = messages.as_messages(_document_stream(spark, sf_dir), DOC)
+    cut = F.concat(F.unhex(F.lit("C328")), F.col("value"))
+    broken = F.when(F.col("doc_id") % 17 == 1, F.lit(None)).when(F.col("doc_id") % 5 == 0, cut).otherwise(F.col("value"))
+    good, dead = output_path(spark, "read-messages"), output_path(spark, "dead-letters")
+    stream = sent.withColumn("value", broken)
+    messages.land_readable(stream, good, dead, output_path(spark, "dead-letters-checkpoint"), DOC).awaitTermination()
+    words = spark.read.parquet(good).select("doc_id", "n_words")
+    letters = spark.read.parquet(dead).select("doc_id", F.octet_length("value").cast("bigint").alias("n_bytes"), "reason")
+    return words.unionByName(letters, allowMissingColumns=True)
+
+
 @query("publish_round_trip", f"SELECT conv_id, turn, {_SQL_WORDS} AS n_words FROM conversations")
 def publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages published in a batch, then consumed as a stream."""

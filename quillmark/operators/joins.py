@@ -80,3 +80,12 @@ def with_df(counts: DataFrame, side_table: DataFrame, word: str = "word", df: st
     """Attach document frequencies from a side table; words it lacks get 1."""
     joined = join_on_key(counts, side_table.select(word, df), word, "left", budget=budget)
     return joined.withColumn(df, F.coalesce(df, F.lit(1)))
+
+
+def with_bucketed_df(counts: DataFrame, side_table: DataFrame, word: str = "word", df: str = "df") -> DataFrame:
+    """``with_df`` for a side table that is bucketed and sorted by ``word``: a merge join that shuffles ``counts`` alone.
+
+    For side tables beyond a broadcast. ``counts`` has one row a word, so no key is hot.
+    """
+    joined = counts.join(side_table.select(word, df).hint("merge"), word, "left")
+    return joined.withColumn(df, F.coalesce(df, F.lit(1)))

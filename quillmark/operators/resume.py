@@ -18,6 +18,11 @@ def with_saved_bytes(books: DataFrame, saved: DataFrame, budget: int = BROADCAST
     return join_on_key(books, filled, "file_name", "left", budget=budget)
 
 
+def saved_files(listing: DataFrame) -> DataFrame:
+    """``(file_name, n_bytes)`` of a listed folder with a ``file_name=`` folder for each file; empty files are not there."""
+    return listing.groupBy("file_name").agg(F.sum("n_bytes").alias("n_bytes"))
+
+
 def pending(books: DataFrame, saved: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
     """Books that still have to be fetched."""
     return with_saved_bytes(books, saved, budget).where("saved_bytes is null").drop("saved_bytes")

@@ -30,6 +30,18 @@ def read_whole_files(spark: SparkSession, path: str, recursive: bool = False) ->
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file below ``path``, ``(path, n_bytes)`` and the columns of ``key=value`` folders.
+
+    The listing is the scan's own, and no file is opened: of the binary source only the length is read. A scan
+    leaves out files of no bytes, so an empty file is as good as none.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.col("length").alias("n_bytes"), *[c for c in files.columns if c not in _BINARY_COLUMNS])
+
+
+_BINARY_COLUMNS = ("path", "modificationTime", "length", "content")
+
 LINE_BREAK = "\r\n?|\n"
 
 
