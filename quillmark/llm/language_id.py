@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmark.llm.arrow_text import free_name, id_and_text, map_batches, pieces, text_bytes
@@ -22,6 +23,8 @@ BUCKET_BITS = 16
 DIMENSIONS = 16
 # Expected number of training texts of each language: the bound of the sample.
 TEXTS_PER_LANGUAGE = 400
+# Languages that a model may know.
+MOST_LANGUAGES = 256
 EPOCHS = 6
 # Share of calibration texts that each bound may reject.
 REJECTED_SHARE = 0.0005
@@ -105,16 +108,24 @@ def text_logits(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tupl
     return sums, counts
 
 
-def labelled_sample(docs: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
+def labelled_sample(docs: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE,
+                    most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """``(lang, part, buckets, counts)`` of a sample of the labelled documents.
 
-    Every language gives about ``texts_per_language`` documents, drawn by a hash of the
-    text; a document is at most one entry for each bucket, so the sample is bounded.
+    A language gives at most ``texts_per_language`` texts, all different, drawn by their hashes; languages beyond
+    the ``most_languages`` with most texts give none and are never predicted. A text is at most one entry
+    for each bucket. So the sample is bounded by these numbers, whatever repeats in the corpus.
     """
-    labelled = docs.where("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = labelled.join(F.broadcast(sizes), "lang").where(drawn * F.col("n") < texts_per_language)
+    labelled = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("key"))
+    # Different texts, not rows: a text that a language repeats would leave no room for the others.
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("key").alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(most_languages)
+    drawn = F.pmod("key", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    some = labelled.join(F.broadcast(sizes), "lang").where(drawn * F.col("n") < 2 * texts_per_language)
+    # Copies of a text are one row a task before they are shuffled.
+    single = some.groupBy("lang", "key").agg(F.first("text").alias("text"))
+    order = F.row_number().over(W.partitionBy("lang").orderBy(drawn, "key"))
+    sample = single.withColumn("at", order).where(F.col("at") <= texts_per_language)
     # One text in five calibrates; the hash is another one, so the parts are independent.
     part = F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(5)).cast("int")
 

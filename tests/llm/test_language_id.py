@@ -78,3 +78,16 @@ def test_text_unlike_any_training_text_is_rejected(spark, sf_dir, documents):
 def test_a_model_without_languages():
     model = LanguageModel([], np.zeros((4, 1)), np.zeros(0), 1.0, 0.0, 0.0)
     assert language_id.judge(model, __import__("pyarrow").array(["a"]), np.array([True]))[0].tolist() == ["und"]
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    rows = [("one text that stands there many times", "en")] * 30_000 + [(f"der Text Nummer {i} ist ein anderer", "de") for i in range(900)]
+    rows += [(f"language {i} has this text", f"x{i:03}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)
+    sample = language_id.labelled_sample(docs, texts_per_language=50, most_languages=10).collect()
+    counts = {}
+    for r in sample:
+        counts[r["lang"]] = counts.get(r["lang"], 0) + 1
+    assert len(counts) == 10 and counts["de"] == 50 and max(counts.values()) == 50
+    whole = language_id.labelled_sample(docs, texts_per_language=50).collect()
+    assert sum(r["lang"] == "en" for r in whole) == 1
