@@ -11,9 +11,11 @@ compressor does not know: it is reported if its letters do not follow each other
 around it and in the identifiers.
 """
 
+import bisect
 import hashlib
 import re
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -141,9 +143,23 @@ class Novelty:
         return more / max(usual, 1)
 
 
+def _joined(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover together, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novelty) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
     known: list[tuple[int, int]] = []
+    starts, ends = _joined(taken)
     reached = 0
     for word in _SENSITIVE.finditer(low):
         limit = min(word.end() + REACH, len(text))
@@ -152,12 +168,18 @@ def _novel(text: bytes, low: bytes, taken: list[tuple[int, int]], novelty: Novel
             # The whole token, also beyond the reach.
             start, end = match.start(), _CANDIDATE.match(text, match.start()).end()
             at = reached = end
-            if not any(a < end and start < b for a, b in taken):
+            place = bisect.bisect_right(ends, start)
+            if place == len(starts) or starts[place] >= end:
                 new = novelty(text, start, end) >= LEAST_NOVELTY and not novelty.reads_as_words(text, start, end)
                 (spans if new else known).append((start, end))
-    # A longer token that holds a new one is known by it only.
-    cores = {_core(text[a:b]) for a, b in spans} if known else set()
-    return spans + [(a, b) for a, b in known if any(core in text[a:b] for core in cores)]
+    if not spans or not known:
+        return spans
+    # A longer token that holds a new one is known by it only. One search finds the new ones in a token.
+    cores = ahocorasick.Automaton()
+    for a, b in spans:
+        cores.add_word(_core(text[a:b]).decode("latin-1"), True)
+    cores.make_automaton()
+    return spans + [(a, b) for a, b in known if next(cores.iter(text[a:b].decode("latin-1")), None)]
 
 
 def find_spans(data: np.ndarray, bounds: np.ndarray, novelty: Novelty) -> list[list[tuple[int, int, int]]]:

@@ -3,6 +3,7 @@ import random
 import re
 import string
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -131,3 +132,25 @@ def test_every_token_behind_a_sensitive_word_is_measured():
         assert novel(f"Authorization: Bearer {plain} end") == [plain]
     for name in ("src/main/java/org/apache/hadoop/fs/Path.java", "XMLHttpRequestFactoryBean", "docs/getting-started/authentication"):
         assert novel(f"the token in {name} is read") == []
+
+
+def test_time_grows_with_the_matches():
+    import time
+
+    rng = random.Random(3)
+
+    def seconds(n):
+        lines = [f"token={rng.randrange(10**12):012d} secret {rng.randrange(16**18):020x}Zq /usr/lib/some-path-name-{i % 50}" for i in range(n)]
+        data = np.frombuffer("\n".join(lines).encode(), np.uint8)
+        start = time.process_time()
+        secret_scan.find_spans(data, np.array([0, len(data)]), secret_scan.Novelty())
+        return time.process_time() - start
+
+    seconds(50)
+    assert seconds(4000) < 3 * max(seconds(2000), 0.2)
+
+
+def test_a_candidate_is_free_of_all_base_spans():
+    spans = [(5, 9), (7, 20), (30, 40), (40, 44)]
+    starts, ends = secret_scan._joined(spans)
+    assert (starts, ends) == ([5, 30], [20, 44])
