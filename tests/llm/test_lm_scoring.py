@@ -5,7 +5,6 @@ from collections import Counter
 
 import pytest
 
-from quillmark.llm import lm_scoring
 from quillmark.llm.lm_scoring import score_documents
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -15,20 +14,25 @@ def words(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def brute(docs, size, tie=None):
-    """Stupid-backoff scores with the ``size`` most frequent words; the counts must not tie at the cut."""
-    own = {d: words(t) for d, t in docs}
-    counts = Counter(w for ws in own.values() for w in ws)
-    known = {w for w, _ in counts.most_common(size)}
-    own = {d: [w if w in known else None for w in ws] for d, ws in own.items()}
-    counts, total = Counter(w for ws in own.values() for w in ws), sum(counts.values())
-    pairs = Counter(p for ws in own.values() for p in zip(ws, ws[1:]))
+def brute(docs, backoff=0.4):
+    """Stupid-backoff scores of each text by the counts of all others."""
+    own = [words(t) for _, t in docs]
+    all_words = Counter(w for ws in own for w in ws)
+    all_pairs = Counter(p for ws in own for p in zip(ws, ws[1:]))
     found = {}
-    for d, ws in own.items():
-        score = math.log(counts[ws[0]] / total) if ws else 0.0
+    for (d, _), ws in zip(docs, own):
+        n, pairs = Counter(ws), Counter(zip(ws, ws[1:]))
+        rest = max(sum(all_words.values()) - len(ws), 1)
+
+        def alone(w):
+            return ((all_words[w] - n[w]) or backoff) / rest
+
+        score = math.log(alone(ws[0])) if ws else 0.0
         for a, b in zip(ws, ws[1:]):
-            score += math.log(pairs[a, b] / counts[a]) if pairs[a, b] >= 2 else math.log(0.4 * counts[b] / total)
-        found[d] = (len(ws), score)
+            left = all_pairs[a, b] - pairs[a, b]
+            score += math.log(left / (all_words[a] - n[a]) if left else backoff * alone(b))
+        before = found.get(d, (0, 0.0))
+        found[d] = (before[0] + len(ws), before[1] + score)
     return found
 
 
@@ -38,11 +42,8 @@ def corpus(n, seed=1):
     return [(i, " ".join(rng.choices(pool, [1 / (k + 1) for k in range(60)], k=rng.choice([0, 1, 2, 30, 200])))) for i in range(n)]
 
 
-@pytest.mark.parametrize("size", [65_535, 5])
-def test_equal_to_brute_force(spark, size):
-    docs = corpus(60)
-    rows = score_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), size).collect()
-    wanted = brute(docs, size)
+def held_to_brute(rows, docs):
+    wanted = brute(docs)
     assert len(rows) == len(wanted)
     for r in rows:
         n, score = wanted[r["doc_id"]]
@@ -51,6 +52,18 @@ def test_equal_to_brute_force(spark, size):
         assert r["mean_score"] == pytest.approx(score / n if n else 0.0, abs=2e-5)
 
 
+def test_equal_to_brute_force(spark):
+    docs = corpus(60)
+    docs += [(7, docs[8][1]), (7, "w1 w2 rare w2"), (None, "w1 w2"), (None, "w3 rare"), (100, docs[9][1]), (101, None)]
+    held_to_brute(score_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect(), docs)
+
+
+def test_ids_may_be_strings(spark):
+    docs = [(f"d{d}", t) for d, t in corpus(20, 4)]
+    frame = spark.createDataFrame(docs, "doc_id string, text string")
+    held_to_brute(score_documents(frame, held_words=9, held_pairs=9).collect(), docs)
+
+
 def test_reruns_agree(spark):
     frame = spark.createDataFrame(corpus(40, 2), "doc_id long, text string")
     first, again = (score_documents(frame.repartition(n)).collect() for n in (3, 7))
@@ -68,27 +81,35 @@ def test_awkward_rows(awkward, nothing):
 
 
 def test_a_long_text_counts_whole(spark):
-    text = "a b " * 200_000
-    row = score_documents(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-    assert row["n_words"] == 400_000
-    assert row["score"] == pytest.approx(brute([(1, text)], 10)[1][1], abs=1.0)
-    assert lm_scoring.LEAST_COUNT == 2
+    docs = [(1, "a b " * 200_000), (2, "b a b c")]
+    rows = {r["doc_id"]: r for r in score_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for doc_id, (n, score) in brute(docs).items():
+        assert rows[doc_id]["n_words"] == n
+        assert rows[doc_id]["score"] == pytest.approx(score, abs=1.0)
+
+
+def test_one_text_alone_backs_off_throughout(spark):
+    row = score_documents(spark.createDataFrame([(1, "a b a b")], "doc_id long, text string")).first()
+    assert row["score"] == pytest.approx(math.log(0.4) * 7, abs=1e-4)
 
 
 def test_no_word_is_too_rare_to_count(spark):
     many = [f"v{i}" for i in range(70_000)]
-    docs = [(1, " ".join(many)), (2, "rare1 rare2 v7 v8 rare1 rare2"), (3, "once never seen"), (4, " ".join(many[:40_000] * 2))]
+    docs = [(1, " ".join(many)), (2, "rare1 rare2 v7 v8 rare1 rare2"), (3, "once never seen rare1 rare2"),
+            (4, " ".join(many[:40_000] * 2))]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    wanted = brute(docs, 10**9)
     for more in ({}, {"held_words": 2, "held_pairs": 1}):
-        for r in score_documents(frame, **more).collect():
-            n, score = wanted[r["doc_id"]]
-            assert r["n_words"] == n
-            assert r["score"] == pytest.approx(score, abs=1e-5 * (n + 1))
+        held_to_brute(score_documents(frame, **more).collect(), docs)
+
+
+def test_gibberish_scores_less_than_text(spark):
+    docs = corpus(60, 5) + [(100, " ".join(f"q{i}x" for i in range(50))), (101, " ".join(f"w{i % 20}" for i in range(50)))]
+    rows = {r["doc_id"]: r["mean_score"] for r in score_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[100] < rows[101] - 2
 
 
 @pytest.mark.parametrize("held", [(0, 0), (3, 2), (20, 500)])
-def test_what_is_held_changes_no_score(spark, held):
+def test_what_is_held_and_the_buckets_change_no_score(spark, held):
     frame = spark.createDataFrame(corpus(40, 3), "doc_id long, text string").repartition(3)
-    own = score_documents(frame, held_words=held[0], held_pairs=held[1]).collect()
+    own = score_documents(frame, held_words=held[0], held_pairs=held[1], bucket_pairs=20).collect()
     assert sorted(own) == sorted(score_documents(frame).collect())
