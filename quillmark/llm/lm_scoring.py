@@ -21,7 +21,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +29,7 @@ from quillmark.llm.minhash import mix, word_hashes
 from quillmark.sources.staging import stage
 
 # Words and pairs whose counts every task holds.
-HELD_WORDS, HELD_PAIRS = 1 << 18, 1 << 16
+HELD_WORDS, HELD_PAIRS = 1 << 20, 1 << 16
 # A pair with twice this share of all pairs is held: it has this share in some group of texts, and few pairs have.
 HOT_SHARE = 2.0**-14
 BACKOFF = 0.4
@@ -39,7 +38,7 @@ UNIT = float(1 << 20)
 # Bytes of text whose words and pairs a task counts at a time.
 SPAN_BYTES = 1 << 22
 # Pairs that a bucket is to have, and the least number of buckets.
-BUCKET_PAIRS, LEAST_BUCKETS = 1 << 22, 16
+BUCKET_PAIRS, LEAST_BUCKETS = 1 << 20, 16
 
 
 class Held:
@@ -85,16 +84,23 @@ class Span:
     start: int
     n_words: np.ndarray
     word_text: np.ndarray
-    word: np.ndarray
+    # Place of the word in ``words``, which are all words of the group.
+    word_at: np.ndarray
+    words: np.ndarray
     word_n: np.ndarray
     # The words of a pair, as places in the columns above.
     first: np.ndarray
     second: np.ndarray
     pair_n: np.ndarray
 
+    @property
+    def word(self) -> np.ndarray:
+        return self.words[self.word_at]
+
     def pair(self) -> np.ndarray:
         """The hash of each pair."""
-        return mix(self.word[self.first] * np.uint64(0x9FB21C651E98DF25) + self.word[self.second])
+        word = self.word
+        return mix(word[self.first] * np.uint64(0x9FB21C651E98DF25) + word[self.second])
 
 
 def _spans(batch: pa.RecordBatch) -> Iterator[Span]:
@@ -110,7 +116,7 @@ def _spans(batch: pa.RecordBatch) -> Iterator[Span]:
         inside = text[1:] == text[:-1]
         pairs, pair_n = np.unique(at[:-1][inside] * len(own) + at[1:][inside], return_counts=True)
         divisor = max(len(words), 1)
-        yield Span(start, counts, own // divisor, words[own % divisor], word_n,
+        yield Span(start, counts, own // divisor, own % divisor, words, word_n,
                    pairs // max(len(own), 1), pairs % max(len(own), 1), pair_n)
 
 
@@ -168,7 +174,7 @@ class Model:
 
     def word_units(self, span: Span) -> tuple[np.ndarray, np.ndarray]:
         """What one occurrence of each word scores alone, over the share of one word; and which words are held."""
-        n, held = self.words.find(span.word)
+        n, held = (found[span.word_at] for found in self.words.find(span.words))
         left = n - span.word_n
         return np.where(held, units(np.log(np.where(left > 0, left, self.backoff))), 0), held
 
@@ -209,7 +215,7 @@ def open_words(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for span in _spans(batch):
-                rare = ~model.words.find(span.word)[1]
+                rare = ~model.words.find(span.words)[1][span.word_at]
                 n = pa.array(span.word_n[rare])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(span.word_text[rare] + span.start)),
@@ -222,8 +228,8 @@ def pair_packets(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     """The distinct pairs of each text that are not held, one row for each bucket and group of texts.
 
     ``keys``, ``n`` and ``base`` have an entry for each pair, in the order of the texts; ``ids``
-    and ``sizes`` say which text has how many of them. ``open_at``, ``open_word`` and
-    ``open_own`` list the words of pairs that are not held: place of the pair, word, and its number in the text.
+    and ``sizes`` say which text has how many of them. ``open`` says how many words of a pair
+    are not held; ``open_word`` and ``open_own`` list these words and their number in the text.
     """
 
     def lists(values: pa.Array, places: np.ndarray) -> pa.Array:
@@ -246,6 +252,7 @@ def pair_packets(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                 words = np.stack([span.first[order], span.second[order]], 1)
                 pair, side = np.nonzero(~held[words])
                 word = words[pair, side]
+                n_open = np.bincount(pair, minlength=len(order)).astype(np.int8)
                 made = [
                     pa.array(np.arange(buckets, dtype=np.int32)),
                     lists(batch.column("doc_id").take(pa.array(text[opened] + span.start)), bucket[opened]),
@@ -253,17 +260,17 @@ def pair_packets(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
                     lists(pa.array(key[order].view(np.int64)), bucket),
                     lists(pa.array(span.pair_n[order].astype(np.int32)), bucket),
                     lists(pa.array(base[order].astype(np.int32)), bucket),
-                    lists(pa.array((pair - np.searchsorted(bucket, bucket[pair])).astype(np.int32)), bucket[pair]),
+                    lists(pa.array(n_open), bucket),
                     lists(pa.array(span.word[word].view(np.int64)), bucket[pair]),
                     lists(pa.array(span.word_n[word].astype(np.int32)), bucket[pair]),
                 ]
-                names = ["bucket", "ids", "sizes", "keys", "n", "base", "open_at", "open_word", "open_own"]
+                names = ["bucket", "ids", "sizes", "keys", "n", "base", "open", "open_word", "open_own"]
                 full = pa.array(np.bincount(bucket, minlength=buckets) > 0)
                 yield pa.RecordBatch.from_arrays(made, names).filter(full)
 
     return id_and_text(docs).mapInArrow(
         run, f"bucket int, ids array<{dict(docs.dtypes)['doc_id']}>, sizes array<int>, keys array<bigint>, n array<int>, "
-             "base array<int>, open_at array<int>, open_word array<bigint>, open_own array<int>")
+             "base array<int>, open array<tinyint>, open_word array<bigint>, open_own array<int>")
 
 
 def pair_gains(packets: DataFrame, id_type: str) -> DataFrame:
@@ -285,9 +292,7 @@ def pair_gains(packets: DataFrame, id_type: str) -> DataFrame:
         ends = np.concatenate([[0], np.cumsum(number["sizes"])])
         total = np.concatenate([[0], np.cumsum(gains)])
         # A word that is not held is taken off where its pair is one that others have.
-        lengths = {c: pc.list_value_length(table.column(c)).to_numpy() for c in ("keys", "open_at")}
-        before = np.cumsum(lengths["keys"]) - lengths["keys"]
-        entry = np.repeat(before, lengths["open_at"]) + number["open_at"]
+        entry = np.repeat(np.arange(len(n)), number["open"])
         asks = np.flatnonzero(seen[entry])
         entry = entry[asks]
         of_text = np.searchsorted(ends, entry, "right") - 1
