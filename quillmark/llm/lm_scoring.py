@@ -38,7 +38,7 @@ UNIT = float(1 << 20)
 # Bytes of text whose words and pairs a task counts at a time.
 SPAN_BYTES = 1 << 22
 # Pairs that a bucket is to have, and the least number of buckets.
-BUCKET_PAIRS, LEAST_BUCKETS = 1 << 20, 16
+BUCKET_PAIRS, LEAST_BUCKETS = 1 << 20, 128
 
 
 class Held:
