@@ -66,6 +66,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def restage(df: DataFrame, name: str, before: str | None) -> tuple[DataFrame, str]:
+    """Stage the next version of a table and delete the folder of the one ``before``; the table and its folder."""
+    path = staging_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    if before:
+        _delete(df.sparkSession, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged outside of jobs, and nothing that it wrote otherwise."""
     _delete(spark, _staged_folder(spark))
