@@ -16,16 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.arrow_text import free_name, groups, text_bytes
+from quillmark.sources.staging import restage, stage
 
 WINDOW_WORDS = 10
-# Bytes of items that are searched for at a time; a larger benchmark is searched in several rounds.
-ITEM_BLOCK_BYTES = 4 << 20
+# Bytes of windows that are searched for at a time; a larger benchmark is searched for in several rounds.
+BLOCK_BYTES = 32 << 20
 TABLE_BITS = 20
 # Windows that move on their own start this far apart.
 STRIDE = 256
 # Pattern lengths from which on a class of patterns uses blocks of so many bytes.
 CLASSES = ((0, 3), (10, 5), (24, 8))
 
+_SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _MARK = 1
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -218,17 +220,20 @@ def search(data: np.ndarray, bounds: np.ndarray, patterns: Patterns) -> tuple[np
     return n_words, hits, items
 
 
-def _item_blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str | None]]]:
-    """The items, in blocks of about ``block_bytes``; each block is small enough for every task."""
-    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text")
-    total = named.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    n = -(-total // block_bytes) or 1
-    block = F.pmod(F.xxhash64("name"), F.lit(n))
-    return [[(r["name"], r["text"]) for r in named.where(block == i).collect()] for i in range(n)]
+def windows_of(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """``(name, passage)``: the different windows of each item, as words with one blank between."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = benchmark.select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
+        F.regexp_extract_all(lower, F.lit(_SQL_WORD), F.lit(0)).alias("words"),
+    ).where(F.size("words") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - F.lit(window - 1), F.lit(1)))
+    passages = F.transform(starts, lambda at: F.array_join(F.slice("words", at, window), " "))
+    return words.select("name", F.explode(F.array_distinct(passages)).alias("passage")).distinct()
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, keep_text: bool = True,
-                  block_bytes: int = ITEM_BLOCK_BYTES) -> tuple[DataFrame, dict[str, str]]:
+                  block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with words, hit words and found items, and the names of these columns.
 
     The columns are ``n_words``; ``hits``, a bit for each word from the first on (null: none
@@ -236,42 +241,56 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     such columns. Null texts, and texts or items without words, have no words and no hits.
     Items with one id are one item; a null id is the empty string. Texts are searched whole.
 
-    No row is shuffled: each block of items is searched for in one pass over the texts.
+    The windows of the benchmark are a table, dealt by hash into blocks of about
+    ``block_bytes``; the driver and the tasks hold one block at a time. No row is shuffled: each
+    block is searched for in one pass over the texts, and all passes but the last are written.
     """
     names = {c: free_name(docs, c) for c in ("n_words", "hits", "items")}
     found = docs.select(
         "*", F.lit(0).cast("bigint").alias(names["n_words"]), F.lit(None).cast("binary").alias(names["hits"]),
         F.array().cast("array<string>").alias(names["items"]),
     )
-    blocks = _item_blocks(benchmark, block_bytes)
-    at = docs.columns.index("text")
-    for i, block in enumerate(blocks):
-        patterns = build_patterns(block, window)
-        drop = not keep_text and i == len(blocks) - 1
-        schema = found.drop("text").schema if drop else found.schema
-
-        def look(batches, patterns=patterns, drop=drop):
-            for batch in batches:
-                n_words, flags, items = search(*text_bytes(batch.column(at)), patterns)
-                old_hits, old_items = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
-                for row, flag in enumerate(flags):
-                    if flag is not None:
-                        bits = np.packbits(flag)
-                        if old_hits[row] is not None:
-                            bits = bits | np.frombuffer(old_hits[row], np.uint8)
-                        old_hits[row] = bits.tobytes()
-                        old_items[row] = sorted({*old_items[row], *items[row]})
-                made = [*batch.columns[:-3], pa.array(n_words), pa.array(old_hits, pa.binary()),
-                        pa.array(old_items, pa.list_(pa.string()))]
-                labels = list(batch.schema.names)
-                if drop:
-                    del made[at], labels[at]
-                yield pa.RecordBatch.from_arrays(made, labels)
-
-        found = found.mapInArrow(look, schema)
+    windows = stage(windows_of(benchmark, window), "benchmark-windows")
+    total = windows.agg(F.sum((F.octet_length("passage") + F.octet_length("name")).cast("bigint"))).first()[0] or 0
+    n_blocks = -(-total // block_bytes) or 1
+    # By both columns, so that a passage of very many items is dealt over the blocks, too.
+    block = F.pmod(F.xxhash64("passage", "name"), F.lit(n_blocks))
+    folder = None
+    for i in range(n_blocks):
+        rows = windows.where(block == i).collect()
+        patterns = build_patterns([(r["name"], r["passage"]) for r in rows], window)
+        last = i == n_blocks - 1
+        found = _looked_for(found, docs.columns.index("text"), patterns, last and not keep_text)
+        if not last:
+            found, folder = restage(found, "passages-so-far", folder)
     return found, names
 
 
+def _looked_for(found: DataFrame, at: int, patterns: Patterns, drop: bool) -> DataFrame:
+    """``found`` with the hits of these patterns added to the last three columns; column ``at`` is the text, to ``drop`` or keep."""
+    schema = found.drop("text").schema if drop else found.schema
+
+    def look(batches):
+        for batch in batches:
+            n_words, flags, items = search(*text_bytes(batch.column(at)), patterns)
+            old_hits, old_items = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
+            for row, flag in enumerate(flags):
+                if flag is not None:
+                    bits = np.packbits(flag)
+                    if old_hits[row] is not None:
+                        bits = bits | np.frombuffer(old_hits[row], np.uint8)
+                    old_hits[row] = bits.tobytes()
+                    old_items[row] = sorted({*old_items[row], *items[row]})
+            made = [*batch.columns[:-3], pa.array(n_words), pa.array(old_hits, pa.binary()),
+                    pa.array(old_items, pa.list_(pa.string()))]
+            labels = list(batch.schema.names)
+            if drop:
+                del made[at], labels[at]
+            yield pa.RecordBatch.from_arrays(made, labels)
+
+    return found.mapInArrow(look, schema)
+
+
 def _bits(hits: Column) -> Column:
     """Number of bits that are set."""
     digits = F.hex(hits)
@@ -301,7 +320,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS
     return found.where(F.col(names["hits"]).isNull()).select(*docs.columns)
 
 
-_SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,

@@ -56,10 +56,15 @@ def test_equal_to_brute_force(spark, planted):
 
 def test_a_benchmark_in_several_blocks(spark, planted, monkeypatch):
     docs, items = planted
+    build = decontamination.build_patterns
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     one, names = find_passages(frame, bench)
-    many, _ = find_passages(frame, bench, block_bytes=200)
+    made = []
+    monkeypatch.setattr(decontamination, "build_patterns", lambda *given: made.append(build(*given)) or made[-1])
+    many, _ = find_passages(frame, bench, block_bytes=500)
+    assert len(made) > 8 and max(p.numbers.nbytes for p in made) < 2500
+    assert many._jdf.queryExecution().toString().count("MapInArrow ") <= 4  # one in each of the four plans
     columns = ["doc_id", *names.values()]
     assert sorted(one.select(*columns).collect(), key=repr) == sorted(many.select(*columns).collect(), key=repr)
 
@@ -81,5 +86,13 @@ def test_clean_documents_stay(spark, awkward, nothing):
     assert contamination(awkward, bench).where("contaminated").count() == 3
 
 
+def test_windows_are_those_of_the_items(spark, planted):
+    _, items = planted
+    made = decontamination.windows_of(spark.createDataFrame(items, "item_id long, text string")).collect()
+    wanted = {(str(n), " ".join(w[i : i + 10])) for n, w in ((n, words(t)) for n, t in items) if w
+              for i in range(max(len(w) - 9, 1))}
+    assert len(made) == len(wanted) and {tuple(r) for r in made} == wanted
+
+
 def test_no_patterns():
     assert decontamination.build_patterns([]).classes == []
