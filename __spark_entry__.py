@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import scoring, sql, text, tokenizers
 from quillmark.functions.stopwords import ENGLISH_STOP_WORDS
-from quillmark.operators import counts, joins, prefix, profile, resume, sentiment, sketches
+from quillmark.operators import bitmaps, counts, joins, prefix, profile, resume, sentiment, sketches
 from quillmark.plans import corpus_prep, tfidf, vectors
 from quillmark.sources import catalog, readers, writers
 from quillmark.sources.staging import output_path, stage
@@ -261,6 +261,12 @@ def re_document_frequency_of_lines(spark: SparkSession, sf_dir: str) -> DataFram
     return counts.document_frequency(_lines(spark, sf_dir), tokens, keep=LONG, chunks_of=DOC)
 
 
+@query("bitmap_document_frequency", f"WITH {_SQL_RE_DF} SELECT term, df FROM df")
+def bitmap_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from bitmaps of document numbers."""
+    return bitmaps.document_frequency(_lines(spark, sf_dir), "doc_id", tokenizers.unicode_tokens(F.col("line")), keep=LONG)
+
+
 _SQL_RE_TFIDF = (
     f"WITH {_SQL_RE_DF}, {_SQL_N} SELECT doc_id, term, round(tf * (ln((n + 1) / (df + 1)) + 1), 6) + 0.0::DOUBLE "
     "AS tfidf FROM tf JOIN df USING (term), n"

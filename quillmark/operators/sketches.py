@@ -71,8 +71,9 @@ def frequent_filter(terms: DataFrame, least: int, term: str = "term", parts: int
     return stage(read, "frequent-terms")
 
 
-def maybe_frequent(rows: DataFrame, known: DataFrame, term: str = "term", parts: int = PARTS, depth: int = DEPTH) -> DataFrame:
-    """``rows`` without those whose term is in too few rows by the sketches; null terms stay."""
+def marked_frequent(rows: DataFrame, known: DataFrame, mark: str, term: str = "term", parts: int = PARTS,
+                    depth: int = DEPTH) -> DataFrame:
+    """``rows`` with a boolean ``mark``: whether the sketches allow for the term being frequent; true for null terms."""
     prefix = {name: f"_sketch_{name}" for name in known.columns}
     met = rows.join(F.broadcast(known.withColumnsRenamed(prefix)), _part(F.col(term), parts) == F.col("_sketch_part"), "left")
     number, width, bits = _number(F.col(term)), F.col("_sketch_width"), F.col("_sketch_bits")
@@ -85,7 +86,12 @@ def maybe_frequent(rows: DataFrame, known: DataFrame, term: str = "term", parts:
         return F.getbit(word, (cell % 64).cast("int")) == 1
 
     passes = reduce(and_, [full(F.get("_sketch_multipliers", F.lit(i)), F.lit(i)) for i in range(depth)])
-    return met.where(F.col(term).isNull() | passes).select(*rows.columns)
+    return met.select(*rows.columns, (F.col(term).isNull() | F.coalesce(passes, F.lit(False))).alias(mark))
+
+
+def maybe_frequent(rows: DataFrame, known: DataFrame, term: str = "term", parts: int = PARTS, depth: int = DEPTH) -> DataFrame:
+    """``rows`` without those whose term is in too few rows by the sketches; null terms stay."""
+    return marked_frequent(rows, known, "_frequent", term, parts, depth).where("_frequent").select(*rows.columns)
 
 
 def distinct_sketches(terms: DataFrame, keys: list[str], term: str = "term", lg_k: int = LG_K) -> DataFrame:
