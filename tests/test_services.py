@@ -127,3 +127,46 @@ def test_functions_of_sql_run_no_python(spark, corpus):
     assert rows(found, "word", "tf") == rows(counts.word_count(corpus, ws()), "word", "tf")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "whitespace_tokens" not in plan
+
+
+def _layout(folder):
+    """Lines of the files of each folder that a scan reads."""
+    found = {}
+    for file in sorted(Path(folder).rglob("*")):
+        if file.is_file() and not file.name.startswith((".", "_")):
+            found.setdefault(str(file.parent.relative_to(folder)), []).append(sorted(file.read_bytes().split(b"\n")))
+    return {below: sorted(contents) for below, contents in found.items()}
+
+
+def test_documents_are_written_as_spark_writes_them(spark, tmp_path):
+    ours, sparks = str(tmp_path / "ours"), str(tmp_path / "sparks")
+    names = ["a b.txt", "a/b:c%d=e", "x'\"#*?\\{[]^\x01\x7f}", "", None, "c", "c"]
+    texts = ["xyz\n", "two\nlines", "", "empty key", "null key", "same", "same"]
+    docs = spark.createDataFrame([*zip(names, texts), ("null", None)], "k string, text string").repartition(2, "k")
+    docs.select("k", "text").write.partitionBy("k").text(sparks)
+    for _ in range(2):  # the second run replaces what the first one wrote
+        writers.write_documents(docs, "k", ours)
+    assert _layout(ours) == _layout(sparks) and Path(ours, "_SUCCESS").exists()
+    # No checksum beside a text: it costs a file and a process.
+    assert not list(Path(ours).rglob(".part*"))
+    writers.write_documents(docs.where("false"), "k", ours)
+    assert _layout(ours) == {} and readers.read_whole_files(spark, ours, recursive=True).count() == 0
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    folder = str(tmp_path / "many")
+    most = readers.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    writers.write_documents(spark.range(3 * most).select("id", F.lit("a b").alias("text")), "id", folder)
+    tracker = spark.sparkContext.statusTracker()
+    before = spark.conf.get(readers._LISTING)
+    for number, read in enumerate((readers.read_lines, readers.read_whole_files)):
+        spark.sparkContext.setJobGroup(f"listing-{number}", "listing")
+        try:
+            files = read(spark, folder, recursive=True)
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(f"listing-{number}")]
+        tasks = [tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+        assert tasks and max(tasks) <= most
+        assert files.count() == 3 * most
+    assert spark.conf.get(readers._LISTING) == before
