@@ -27,9 +27,9 @@ from pyspark.sql.types import StructField, StructType
 
 from quillmark.functions.scoring import idf_ml
 from quillmark.functions.tokenizers import NOT_EMPTY
-from quillmark.operators.counts import term_statistics
+from quillmark.operators.counts import term_frequency, term_statistics
 from quillmark.operators.joins import BROADCAST_BYTES, join_on_key
-from quillmark.plans.tfidf import Idf, TermModel, document_terms, fit
+from quillmark.plans.tfidf import Idf, TermModel, fit
 from quillmark.sources.staging import stage, staging_path
 
 
@@ -109,9 +109,9 @@ class _TermVectorizerParams(Params):
         super().__init__()
         self._setDefault(tokensCol="tokens", outputCol="tfidf", minDF=1, vocabSize=1 << 18)
 
-    def _counts(self, docs: DataFrame) -> DataFrame:
-        keys = self.getOrDefault(self.keyCols)
-        return document_terms(docs, keys, F.col(self.getOrDefault(self.tokensCol)), NOT_EMPTY)
+    def _counts(self, docs: DataFrame, keys: list[str]) -> DataFrame:
+        """Each use reads the counts once, so they are not staged."""
+        return term_frequency(docs, keys, F.col(self.getOrDefault(self.tokensCol)), keep=NOT_EMPTY, document_rows=True)
 
 
 class TermVectorizer(Estimator, _TermVectorizerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -123,7 +123,7 @@ class TermVectorizer(Estimator, _TermVectorizerParams, DefaultParamsReadable, De
         self._set(tokensCol=tokensCol, outputCol=outputCol, minDF=minDF, vocabSize=vocabSize, keyCols=keyCols or [])
 
     def _fit(self, dataset: DataFrame) -> "TermVectorizerModel":
-        statistics = term_statistics(self._counts(dataset))
+        statistics = term_statistics(self._counts(dataset, []))
         index = index_terms(fit(statistics, self.getOrDefault(self.minDF), self.getOrDefault(self.vocabSize)))
         return self._copyValues(TermVectorizerModel(index))
 
@@ -161,7 +161,7 @@ class TermVectorizerModel(Model, _TermVectorizerParams, MLReadable, MLWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         keys = self.getOrDefault(self.keyCols)
-        parts = document_vectors(self._counts(dataset), keys, self.index)
+        parts = document_vectors(self._counts(dataset, keys), keys, self.index)
         return as_ml_vectors(parts, self.getOrDefault(self.outputCol))
 
     def write(self) -> MLWriter:
