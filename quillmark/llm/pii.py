@@ -1,12 +1,13 @@
 """Personal data by column expressions only: fixed formats, and candidates that boosted trees select.
 
 Generators of high recall propose spans that may overlap: loose mail addresses, long numbers
-and dotted quads. The strict spans of a bounded sample, rewritten as loose forms where they stand, are what
+and dotted quads. The strict spans of all texts, rewritten as loose forms where they stand, are what
 gradient-boosted trees learn from, against candidates without any word for personal data; format
-and context are the features, no check of a strict format is. A threshold with a
+and context are the features, no check of a strict format is. Examples with equal features become one
+weighted row before the fit. A threshold with a
 wanted precision on a calibration part selects further spans. The fitted trees become a
 column expression, so that all spans of a text are found and judged inside its row: there is
-no shuffle, no join and no Python on the executors.
+no join and no Python on the executors, and no text is shuffled.
 """
 
 from collections.abc import Callable
@@ -37,8 +38,7 @@ LOOSE_EMAIL = _MAIL_NAME + r"\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?
 NUMBER = r"\+?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"
 LOOSE_IP = r"(?<![0-9.])[0-9]++(?:\.[0-9]+){3}+"
 
-# Documents that training may look at, trees and their depth, and the precision that a threshold must reach.
-TRAIN_DOCUMENTS = 20_000
+# Trees and their depth, and the precision that a threshold must reach.
 TREES, DEPTH = 8, 3
 LEAST_PRECISION = 0.98
 LEAST_CANDIDATES = 20
@@ -237,33 +237,34 @@ def _examples(texts: DataFrame) -> DataFrame:
         rest.where(says == 0).select("text", "key", F.lit(0.0).alias("label"), "span"))
 
 
-def fit(docs: DataFrame, train_documents: int = TRAIN_DOCUMENTS) -> SpanModel | None:
-    """Trees from the candidates of about ``train_documents`` documents, drawn by a hash of the text.
+def fit(docs: DataFrame) -> SpanModel | None:
+    """Trees from the candidates of all documents.
 
-    None if the sample has too few examples of either label, or no threshold is precise enough on texts that took
+    None if the texts have too few examples of either label, or no threshold is precise enough on texts that took
     no part in the fit.
     """
     texts = docs.select("text").where("text is not null")
-    share = train_documents / max(docs.count(), 1)
-    drawn = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(share, 1.0) * (1 << 30)))
     features = _features(F.col("text"), F.col("span"))
-    part = F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(3))
-    rows = stage(_examples(drawn).select("label", part.alias("part"), *[v.alias(k) for k, v in features.items()]), "candidates")
     names = list(features)
+    part = F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(3))
+    examples = _examples(texts).select("label", part.alias("part"), *[v.alias(k) for k, v in features.items()])
+    # Examples that look alike are one row with their number, so the fit is over kinds of examples.
+    rows = stage(examples.groupBy("label", "part", *names).agg(F.count("*").cast("double").alias("n")), "candidates")
     fitted, held = rows.where("part <> 0"), rows.where("part = 0")
-    positive, negative = fitted.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+    label, n = F.col("label"), F.col("n")
+    positive, negative = fitted.agg(F.sum(label * n), F.sum((1 - label) * n)).first()
     if min(positive or 0, negative or 0) < LEAST_CANDIDATES:
         return None
     # Both labels weigh alike, however rare one is.
-    weight = F.when(F.col("label") == 1, 1.0 / positive).otherwise(1.0 / negative) * (positive + negative) / 2
+    weight = F.when(F.col("label") == 1, 1.0 / positive).otherwise(1.0 / negative) * n * (positive + negative) / 2
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(fitted.withColumn("weight", weight))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=32, weightCol="weight").fit(vectors)
     made = SpanModel(names, [_tree(t._java_obj.rootNode(), names) for t in model.trees], list(model.treeWeights), 2.0)
-    scored = held.select("label", made.probability({n: F.col(n) for n in names}).alias("p"))
+    scored = held.select("label", "n", made.probability({n: F.col(n) for n in names}).alias("p"))
     sums: list[Column] = []
     for limit in _THRESHOLDS:
         above = F.col("p") >= limit
-        sums += [F.sum(F.when(above, F.col("label"))), F.sum(F.when(above, 1.0))]
+        sums += [F.sum(F.when(above, label * n)), F.sum(F.when(above, n))]
     totals = scored.agg(*sums).first()
     for limit, right, chosen in zip(_THRESHOLDS, totals[::2], totals[1::2]):
         if chosen and right / chosen >= LEAST_PRECISION:

@@ -198,3 +198,14 @@ def test_time_grows_with_the_matches(spark):
     seconds(100)
     small, large = (min(seconds(n) for _ in range(2)) for n in (20_000, 40_000))
     assert large < 3 * small
+
+
+def test_every_document_takes_part_in_the_fit(spark, labelled, monkeypatch):
+    staged = []
+    stage = pii.stage
+    monkeypatch.setattr(pii, "stage", lambda table, name: staged.append(stage(table, name)) or staged[-1])
+    plain = spark.range(10_000, 50_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 7).alias("text"))
+    assert pii.fit(labelled.unionByName(plain)) is not None
+    kinds = staged[0]
+    # Examples with equal features are one row, and none is left out.
+    assert kinds.agg(F.sum("n")).first()[0] == pii._examples(labelled).count() > kinds.count()
