@@ -103,21 +103,29 @@ class Span:
         return mix(word[self.first] * np.uint64(0x9FB21C651E98DF25) + word[self.second])
 
 
+def _span(start: int, data: np.ndarray, bounds: np.ndarray) -> Span:
+    # Hashing takes some fifty bytes for each byte of text, so it goes piece by piece.
+    parts = [word_hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]) for a, b in groups(bounds)]
+    words, word = np.unique(np.concatenate([hashes for hashes, _ in parts]), return_inverse=True)
+    counts = np.concatenate([counts for _, counts in parts])
+    del parts
+    text = np.repeat(np.arange(len(counts)), counts)
+    own, at, word_n = np.unique(text * len(words) + word, return_inverse=True, return_counts=True)
+    del word
+    inside = text[1:] == text[:-1]
+    del text
+    pairs, pair_n = np.unique(at[:-1][inside] * len(own) + at[1:][inside], return_counts=True)
+    del at, inside
+    divisor = max(len(words), 1)
+    return Span(start, counts, own // divisor, own % divisor, words, word_n,
+                pairs // max(len(own), 1), pairs % max(len(own), 1), pair_n)
+
+
 def _spans(batch: pa.RecordBatch) -> Iterator[Span]:
+    """The groups of texts of a batch. No array of a group outlives its use, so a task's memory is that of one group."""
     data, bounds = text_bytes(batch.column("text"))
     for start, end in groups(bounds, SPAN_BYTES):
-        span = bounds[start : end + 1]
-        # Hashing takes some fifty bytes for each byte of text, so it goes piece by piece.
-        parts = [word_hashes(data[span[a] : span[b]], span[a : b + 1] - span[a]) for a, b in groups(span)]
-        words, word = np.unique(np.concatenate([hashes for hashes, _ in parts]), return_inverse=True)
-        counts = np.concatenate([counts for _, counts in parts])
-        text = np.repeat(np.arange(len(counts)), counts)
-        own, at, word_n = np.unique(text * len(words) + word, return_inverse=True, return_counts=True)
-        inside = text[1:] == text[:-1]
-        pairs, pair_n = np.unique(at[:-1][inside] * len(own) + at[1:][inside], return_counts=True)
-        divisor = max(len(words), 1)
-        yield Span(start, counts, own // divisor, own % divisor, words, word_n,
-                   pairs // max(len(own), 1), pairs % max(len(own), 1), pair_n)
+        yield _span(start, data, bounds[start : end + 1])
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,37 +244,49 @@ def pair_packets(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
         """``values``, which are sorted by bucket, as a list for each bucket."""
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(places, np.arange(buckets + 1)).astype(np.int32)), values)
 
+    names = ["bucket", "ids", "sizes", "keys", "n", "base", "open", "open_word", "open_own"]
+
+    def packets(span: Span, ids: pa.Array) -> pa.RecordBatch:
+        of_words, held = model.word_units(span)
+        base, _, own = model.pair_units(span, of_words, held)
+        del of_words
+        order = np.flatnonzero(~own)
+        key = span.pair()[order]
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        bucket, key, order = bucket[by_bucket], key[by_bucket], order[by_bucket]
+        del own, by_bucket
+        text = span.word_text[span.first[order]]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (bucket[1:] != bucket[:-1]) | (text[1:] != text[:-1])
+        opened = np.flatnonzero(fresh)
+        made = [
+            pa.array(np.arange(buckets, dtype=np.int32)),
+            lists(ids.take(pa.array(text[opened] + span.start)), bucket[opened]),
+            lists(pa.array(np.diff(np.append(opened, len(order))).astype(np.int32)), bucket[opened]),
+            lists(pa.array(key.view(np.int64)), bucket),
+            lists(pa.array(span.pair_n[order].astype(np.int32)), bucket),
+            lists(pa.array(base[order].astype(np.int32)), bucket),
+        ]
+        del base, key, text, fresh, opened
+        # The words of a pair one after the other, as places.
+        words = np.stack([span.first[order], span.second[order]], 1)
+        full = pa.array(np.bincount(bucket, minlength=buckets) > 0)
+        pair, side = np.nonzero(~held[words])
+        word = words[pair, side]
+        del words, side, held
+        made += [
+            lists(pa.array(np.bincount(pair, minlength=len(order)).astype(np.int8)), bucket),
+            lists(pa.array(span.word[word].view(np.int64)), bucket[pair]),
+            lists(pa.array(span.word_n[word].astype(np.int32)), bucket[pair]),
+        ]
+        return pa.RecordBatch.from_arrays(made, names).filter(full)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for span in _spans(batch):
-                of_words, held = model.word_units(span)
-                base, _, own = model.pair_units(span, of_words, held)
-                key = span.pair()
-                bucket = (key % np.uint64(buckets)).astype(np.int64)
-                order = np.flatnonzero(~own)
-                order = order[np.argsort(bucket[order], kind="stable")]
-                bucket, text = bucket[order], span.word_text[span.first[order]]
-                fresh = np.ones(len(order), bool)
-                fresh[1:] = (bucket[1:] != bucket[:-1]) | (text[1:] != text[:-1])
-                opened = np.flatnonzero(fresh)
-                words = np.stack([span.first[order], span.second[order]], 1)
-                pair, side = np.nonzero(~held[words])
-                word = words[pair, side]
-                n_open = np.bincount(pair, minlength=len(order)).astype(np.int8)
-                made = [
-                    pa.array(np.arange(buckets, dtype=np.int32)),
-                    lists(batch.column("doc_id").take(pa.array(text[opened] + span.start)), bucket[opened]),
-                    lists(pa.array(np.diff(np.append(opened, len(order))).astype(np.int32)), bucket[opened]),
-                    lists(pa.array(key[order].view(np.int64)), bucket),
-                    lists(pa.array(span.pair_n[order].astype(np.int32)), bucket),
-                    lists(pa.array(base[order].astype(np.int32)), bucket),
-                    lists(pa.array(n_open), bucket),
-                    lists(pa.array(span.word[word].view(np.int64)), bucket[pair]),
-                    lists(pa.array(span.word_n[word].astype(np.int32)), bucket[pair]),
-                ]
-                names = ["bucket", "ids", "sizes", "keys", "n", "base", "open", "open_word", "open_own"]
-                full = pa.array(np.bincount(bucket, minlength=buckets) > 0)
-                yield pa.RecordBatch.from_arrays(made, names).filter(full)
+                yield packets(span, batch.column("doc_id"))
+                del span
 
     return id_and_text(docs).mapInArrow(
         run, f"bucket int, ids array<{dict(docs.dtypes)['doc_id']}>, sizes array<int>, keys array<bigint>, n array<int>, "

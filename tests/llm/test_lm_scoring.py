@@ -1,10 +1,15 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from quillmark.llm import lm_scoring
 from quillmark.llm.lm_scoring import score_documents
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -113,3 +118,24 @@ def test_what_is_held_and_the_buckets_change_no_score(spark, held):
     frame = spark.createDataFrame(corpus(40, 3), "doc_id long, text string").repartition(3)
     own = score_documents(frame, held_words=held[0], held_pairs=held[1], bucket_pairs=20).collect()
     assert sorted(own) == sorted(score_documents(frame).collect())
+
+
+def test_a_task_holds_the_arrays_of_one_group(monkeypatch):
+    """Peak memory of the step that makes packets, in bytes for each byte of a group of texts."""
+    monkeypatch.setattr(lm_scoring, "SPAN_BYTES", 1 << 20)
+    monkeypatch.setattr(lm_scoring, "id_and_text", lambda docs: docs)
+    steps = []
+    docs = SimpleNamespace(dtypes=[("doc_id", "bigint")], mapInArrow=lambda step, schema: steps.append(step))
+    none = lm_scoring.Held(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    lm_scoring.pair_packets(docs, lm_scoring.Model(none, none, 10**6, 0.4), 128)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(400)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1500), pa.int64()), "text": pa.array(texts)})
+    assert sum(1 for _ in steps[0](iter([batch]))) >= 3  # several groups; the tables of powers are made
+    tracemalloc.start()
+    try:
+        for made in steps[0](iter([batch])):
+            del made
+        assert tracemalloc.get_traced_memory()[1] < 36 * (1 << 20)
+    finally:
+        tracemalloc.stop()
