@@ -5,9 +5,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from frames import rows
 from quillmark.functions import scoring, sql, tokenizers
 from quillmark.operators import counts, joins, profile, resume
+from quillmark.plans import vectors
 from quillmark.sources import readers, staging, writers
 from quillmark.streaming import messages
 
@@ -170,3 +172,28 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
         assert tasks and max(tasks) <= most
         assert files.count() == 3 * most
     assert spark.conf.get(readers._LISTING) == before
+
+
+def test_streams_of_files_list_by_few_tasks(spark, tiny_dir, monkeypatch):
+    land, seen = messages.land, []
+
+    def watched(*arguments):
+        running = land(*arguments)
+        running.awaitTermination()
+        seen.append(int(spark.conf.get(readers._LISTING)))
+        return running
+
+    monkeypatch.setattr(messages, "land", watched)
+    found = entry.queries()["stream_text_files"](spark, tiny_dir)
+    assert found.count() == spark.read.parquet(f"{tiny_dir}/documents.parquet").count()
+    most = readers.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert len(seen) == 2 and max(seen) <= most < int(spark.conf.get(readers._LISTING))
+
+
+def test_vectorizer_stages_no_counts(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b"]), (3, []), (4, None)], "id long, tokens array<string>")
+    with staging.job(spark) as folder:
+        model = vectors.TermVectorizer(keyCols=["id"]).fit(docs)
+        parts = vectors.vector_parts(model.transform(docs), ["id"])
+        assert rows(parts.select("id", "indices"), "id", "indices") == [(1, [0, 1]), (2, [1]), (3, []), (4, [])]
+        assert not [p.name for p in Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("document-terms")]
