@@ -50,6 +50,32 @@ def test_one_document_in_many_pieces(spark):
     assert _both(docs, least_bits=1)[0] == [("here", 1), ("same", 1), ("words", 1)]
 
 
+def test_documents_at_the_ends_of_words_and_bitmaps(spark):
+    size = 64 * bitmaps.WORDS
+    ends = [end + i for end in (64, size, 2 * size, -64, -size) for i in (-1, 0, 1)]
+    numbers = [*ends, -1, 0, 2**63 - 1, 2**63 - 2, -(2**63), -(2**63) + 1]
+    data = [(n, line) for n in numbers for line in ("all", "all once" if n == size else "all more")]
+    docs = spark.createDataFrame(data, "doc_id long, line string").repartition(5)
+    got, expected = _both(docs, least_bits=1)
+    assert got == expected == [("all", len(numbers)), ("more", len(numbers) - 1), ("once", 1)]
+
+
+def test_text_is_read_once_and_no_term_is_sorted(spark, tmp_path, monkeypatch):
+    _pieces(spark, range(300)).write.parquet(f"{tmp_path}/docs")
+    read = []
+    make = bitmaps.frequent_filter
+
+    def noted(terms, least, term, cells):
+        read.extend(terms.inputFiles())
+        return make(terms, least, term, cells=cells)
+
+    monkeypatch.setattr(bitmaps, "frequent_filter", noted)
+    result = bitmaps.document_frequency(spark.read.parquet(f"{tmp_path}/docs"), "doc_id", _words(), least_bits=1)
+    read.extend(result.inputFiles())
+    assert read and not [path for path in read if str(tmp_path) in path]
+    assert not [p.nodeName() for p in _plans(result._jdf.queryExecution().executedPlan()) if "Sort" in p.nodeName()]
+
+
 def _plans(plan):
     """Nodes of an executed plan, those of its stages included."""
     yield plan
