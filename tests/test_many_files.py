@@ -30,6 +30,24 @@ def test_a_scan_lists_one_sub_folder_at_a_time(spark, tiny_dir, monkeypatch, nam
     assert len(result.inputFiles()) < 200
 
 
+def test_a_stream_has_the_files_of_one_sub_folder(spark, tiny_dir, monkeypatch):
+    name, paths, costs = "stream_text_files", [], []
+    expected = _rows(entry.queries()[name](spark, tiny_dir))
+    monkeypatch.setattr(writers, "FOLDER_FILES", 90)
+    text_file_stream = entry.messages.text_file_stream
+
+    def watched(spark, path, **options):
+        paths.append(path)
+        costs.append(int(spark.conf.get(readers._OPENING)))
+        return text_file_stream(spark, path, **options)
+
+    monkeypatch.setattr(entry.messages, "text_file_stream", watched)
+    before = spark.conf.get(readers._OPENING)
+    assert _rows(entry.queries()[name](spark, tiny_dir)) == expected
+    assert len(paths) == 6 and len(set(paths)) == 3 and max(costs) <= readers.OPENING_BYTES
+    assert spark.conf.get(readers._OPENING) == before
+
+
 def test_by_folder_reads_all_that_a_scan_reads(spark, tmp_path):
     for name in ("a/x.txt", "a/b/y.txt", "c/z.txt", "top.txt", ".hidden/n.txt", "_skipped/n.txt", "d=1/_n.txt", "e/empty.txt",
                  "g[1]/q.txt", "top{2}.txt", "d=1/m.txt"):
